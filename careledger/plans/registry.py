@@ -17,7 +17,7 @@ from ..config import DEFAULT_AS_OF
 from ..oracle import duckdb_sql as o
 from ..sources.fixtures import load_fixture
 from ..sources.tables import Sources
-from . import sales
+from . import customers, sales
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,18 @@ QUERIES: list[Query] = [
     _q("q15_avg_daily_revenue_per_grooming", sales.avg_daily_revenue_per_grooming, o.q15),
     _q("q16_rolling_30d", sales.rolling_30d, o.q16),
     _q("q16_rolling_30d_store", sales.rolling_30d, o.q16, channel="Store"),
+    _q("q17_monthly_new_customers", customers.monthly_new_customers, o.q17),
+    _q("q17_monthly_new_customers_truck_all_time", customers.monthly_new_customers, o.q17,
+       channel="Truck", date_filter="past120months~"),
+    _q("q18_returning_customers_mtd", customers.returning_customers_mtd, o.q18),
+    _q("q18_returning_customers_mtd_store", customers.returning_customers_mtd, o.q18, channel="Store"),
+    _q("q19_monthly_retention_trend", customers.monthly_retention_trend, o.q19),
+    _q("q19_monthly_retention_trend_truck", customers.monthly_retention_trend, o.q19, channel="Truck"),
+    _q("q20_cohort_retention", customers.cohort_retention, o.q20),
+    _q("q20_cohort_retention_store", customers.cohort_retention, o.q20, channel="Store"),
+    _q("q21_cohort_cell_customers", customers.cohort_cell_customers, o.q21,
+       cohort_month=date(1995, 1, 1), months_since=6),
+    _q("q22_cohort_roster", customers.cohort_roster, o.q22, cohort_month=date(1995, 2, 1)),
 ]
 
 
