@@ -17,7 +17,7 @@ from ..config import DEFAULT_AS_OF
 from ..oracle import duckdb_sql as o
 from ..sources.fixtures import load_fixture
 from ..sources.tables import Sources
-from . import customers, sales
+from . import activity, customers, followups as fq, sales
 
 
 @dataclass(frozen=True)
@@ -62,6 +62,44 @@ QUERIES: list[Query] = [
     _q("q21_cohort_cell_customers", customers.cohort_cell_customers, o.q21,
        cohort_month=date(1995, 1, 1), months_since=6),
     _q("q22_cohort_roster", customers.cohort_roster, o.q22, cohort_month=date(1995, 2, 1)),
+    _q("q23_customer_profile_v1", fq.customer_profile_v1, o.q23),
+    _q("q23_customer_profile_v1_store_grooming_2001", fq.customer_profile_v1, o.q23, date_from=date(2001, 1, 1),
+       date_to=date(2001, 7, 20), channel="Store", purchase_profile="Grooming only"),
+    _q("q24_followup_queue", fq.followup_queue, o.q24),
+    _q("q24_followup_queue_show_won", fq.followup_queue, o.q24, show_closed_won="Show"),
+    _q("q24_followup_queue_truck_dormant_lost", fq.followup_queue, o.q24, channel="Truck",
+       cohort="Dormant + Lost", food_buyer="Yes"),
+    _q("q24_followup_queue_store_cross_sell", fq.followup_queue, o.q24, channel="Store",
+       purchase_profile="Grooming & Products", cross_sell_segment_filter="Grooming only",
+       food_opportunity_filter="Cross-sell food"),
+    _q("q24_followup_queue_lost_resupply", fq.followup_queue, o.q24, cohort="Lost (90+ days)",
+       food_opportunity_filter="Resupply due", cross_sell_segment_filter="Both"),
+    _q("q25_kpi_due_today", fq.kpi_due_today, o.q25),
+    _q("q26_kpi_past_due", fq.kpi_past_due, o.q26),
+    _q("q27_kpi_never_called", fq.kpi_never_called, o.q27),
+    _q("q28_kpi_future_calls", fq.kpi_future_calls, o.q28),
+    _q("q29_kpi_missing_date", fq.kpi_missing_date, o.q29),
+    _q("q30_kpi_food_cross_sell", fq.kpi_food_cross_sell, o.q30),
+    _q("q31_kpi_food_resupply", fq.kpi_food_resupply, o.q31),
+    _q("q32_kpi_total_in_queue", fq.kpi_total_in_queue, o.q32),
+    _q("q32_kpi_total_in_queue_show_won", fq.kpi_total_in_queue, o.q32, show_closed_won="Show"),
+    _q("q32_kpi_total_in_queue_store_products", fq.kpi_total_in_queue, o.q32, channel="Store",
+       purchase_profile="Products only"),
+    _q("q26_kpi_past_due_truck_dormant", fq.kpi_past_due, o.q26, channel="Truck", cohort="Dormant (45-90 days)"),
+    _q("q33_overdue_followups", fq.overdue_followups, o.q33),
+    _q("q34_overdue_trend", fq.overdue_trend, o.q34),
+    _q("q34_overdue_trend_store_grooming", fq.overdue_trend, o.q34, channel="Store", purchase_profile="Grooming only"),
+    _q("q34_overdue_trend_truck_lost", fq.overdue_trend, o.q34, channel="Truck", cohort="Lost (90+ days)"),
+    _q("q35_agent_activity", activity.agent_activity, o.q35),
+    _q("q35_agent_activity_past_30_days", activity.agent_activity, o.q35, period="Past 30 days"),
+    _q("q35_agent_activity_yesterday", activity.agent_activity, o.q35, period="Yesterday"),
+    _q("q36_followups_mtd_by_agent", activity.followups_mtd_by_agent, o.q36),
+    _q("q37_followups_mtd_total", activity.followups_mtd_total, o.q37),
+    _q("q38_followups_done_on_day", activity.followups_done_on_day, o.q38),
+    _q("q38_followups_done_on_day_0712", activity.followups_done_on_day, o.q38, followup_day=date(2001, 7, 12)),
+    _q("q39_followups_avg_daily", activity.followups_avg_daily, o.q39),
+    _q("q40_followups_on_day_log", activity.followups_on_day_log, o.q40),
+    _q("q40_followups_on_day_log_0705", activity.followups_on_day_log, o.q40, followup_day=date(2001, 7, 5)),
 ]
 
 
