@@ -19,7 +19,7 @@ from ..functions.exprs import (category, channel2, days_between, inr, is_blank,
 from ..functions.params import (add_months, between_opt, channel_pred, last_day, month_start, relative_range,
                                 where)
 from ..operators.allocation import GROSS, invoice_lines
-from ..operators.shaping import fill_spine, pivot_fixed, with_total_row
+from ..operators.shaping import fill_spine, pivot_fixed
 from ..operators.sweep import rolling_distinct
 from ..sources.calendar import lit_table, spine, spine_numbered
 from ..sources.tables import Sources, invoices, items
@@ -213,7 +213,9 @@ def mtd_revenue_by_channel_category(src: Sources, as_of: date) -> DataFrame:
              F.round(F.sum(F.when(~store, g).otherwise(F.lit(0))), 0).alias("truck_amt"),
              F.round(F.sum(g), 0).alias("total_amt"))
     )
-    rows = with_total_row(per_cat, "Category", "Total", ["store_amt", "truck_amt", "total_amt"])
+    # Total row = sums of the already rounded cells (a rollup over ≤ 2 rows).
+    rows = per_cat.rollup("Category").agg(*[F.sum(c).alias(c) for c in ("store_amt", "truck_amt", "total_amt")]) \
+        .withColumn("Category", F.coalesce(F.col("Category"), F.lit("Total")))
     return rows.select(
         "Category", inr(F.col("store_amt")).alias("Store"), inr(F.col("truck_amt")).alias("Truck"),
         inr(F.col("total_amt")).alias("Total"),
@@ -271,7 +273,9 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
          [F.round(safe_div(F.col(f"cr_{x}"), F.col(f"cg_{x}")), 0) for x in "sta"]),
         ("Avg Daily Revenue (incl. tax)", "rupee", [F.round(dbl(f"s_{x}") / F.lit(d), 0) for x in "sta"]),
     ]
-    parts = []
+    # The one-row frame is computed once; the five metric rows come from a
+    # single explode of an array of structs.
+    rows = []
     for i, (name, kind, vals) in enumerate(metrics):
         if numeric:
             cells = [v.cast("double") for v in vals]
@@ -279,12 +283,9 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
             cells = [inr(v) for v in vals]
         else:
             cells = [_fmt_count(v, 0 if kind == "count0" else 1) for v in vals]
-        parts.append(one.select(F.lit(i).alias("_ord"), F.lit(name).alias("Metric"),
-                                *(cell.alias(n) for cell, n in zip(cells, ["Store", "Truck", "Total"]))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("_ord").drop("_ord")
+        rows.append(F.struct(F.lit(i).alias("_ord"), F.lit(name).alias("Metric"),
+                             *(cell.alias(n) for cell, n in zip(cells, ["Store", "Truck", "Total"]))))
+    return one.select(F.explode(F.array(*rows)).alias("m")).select("m.*").orderBy("_ord").drop("_ord")
 
 
 # ---------------------------------------------------------------- Q12-Q13
