@@ -233,34 +233,36 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
     Counts print as integers, average counts with one decimal, money as ₹
     (X5). ``numeric=True`` returns the unformatted doubles instead.
     """
-    spark = _spark(src)
     d = float(days_elapsed(as_of))
-    inv = _mtd_invoices(src, as_of).withColumn("channel", channel2())
-    groomings = _invoice_smart_qty(src, inv, ["name", "channel"]) \
-        .groupBy("channel").agg(F.sum("smart_qty").alias("mtd_groomings"))
-    revenue = (
-        invoice_lines(src, month_start(as_of), as_of).filter(is_grooming_group())
-        .groupBy(channel2().alias("channel")).agg(F.sum(GROSS).alias("mtd_grooming_revenue"))
+    # One pass over the month's allocated lines: per invoice the smart
+    # grooming quantity and the grooming revenue, then per channel (≤ 2 rows).
+    per_invoice = (
+        invoice_lines(src, month_start(as_of), as_of)
+        .groupBy("name", channel2().alias("channel"))
+        .agg(smart_qty().alias("sq"),
+             F.sum(F.when(is_grooming_group(), F.col(GROSS))).alias("groom_rev"))
     )
-    sales = inv.groupBy("channel").agg(F.sum("base_grand_total").alias("mtd_sales"))
-
-    # The three per-channel frames hold at most two rows each: collapse each to
-    # one wide row and combine them without a shuffle.
-    def wide(df, value, prefix):
-        v = F.col(value)
-        return df.agg(
-            F.coalesce(F.max(F.when(F.col("channel") == cfg.STORE_LABEL, v)), F.lit(0)).alias(f"{prefix}_s"),
-            F.coalesce(F.max(F.when(F.col("channel") == cfg.TRUCK_LABEL, v)), F.lit(0)).alias(f"{prefix}_t"),
-            F.coalesce(F.sum(v), F.lit(0)).alias(f"{prefix}_a"),
-        )
+    per_channel = per_invoice.groupBy("channel").agg(
+        F.sum(F.when(F.col("sq") > 0, F.col("sq"))).alias("g"),
+        F.sum("groom_rev").alias("r"),
+    )
+    sales = _mtd_invoices(src, as_of).groupBy(channel2().alias("channel")) \
+        .agg(F.sum("base_grand_total").alias("mtd_sales"))
+
+    def cell(expr, channel):
+        return F.coalesce(F.max(F.when(F.col("channel") == channel, expr)), F.lit(0))
+
+    def wide(expr, prefix, present=None):
+        e = expr if present is None else F.when(present, expr)
+        return [cell(e, cfg.STORE_LABEL).alias(f"{prefix}_s"), cell(e, cfg.TRUCK_LABEL).alias(f"{prefix}_t"),
+                F.coalesce(F.sum(e), F.lit(0)).alias(f"{prefix}_a")]
 
     # Revenue per grooming only counts channels that have groomings (the
     # reference joins revenue onto the grooming rows).
-    c = groomings.join(revenue, "channel", "left").select(
-        "channel", "mtd_groomings", F.coalesce("mtd_grooming_revenue", F.lit(0)).alias("rev"))
-    one = (wide(groomings, "mtd_groomings", "g").crossJoin(wide(revenue, "mtd_grooming_revenue", "r"))
-           .crossJoin(wide(sales, "mtd_sales", "s"))
-           .crossJoin(wide(c, "rev", "cr")).crossJoin(wide(c, "mtd_groomings", "cg")))
+    has_g = F.col("g").isNotNull()
+    one = per_channel.agg(*wide(F.col("g"), "g"), *wide(F.col("r"), "r"),
+                          *wide(F.coalesce(F.col("r"), F.lit(0)), "cr", has_g), *wide(F.col("g"), "cg", has_g)) \
+        .crossJoin(sales.agg(*wide(F.col("mtd_sales"), "s")))
 
     def dbl(name):
         return F.col(name).cast("double")
@@ -353,18 +355,20 @@ def avg_daily_grooming_revenue(src: Sources, as_of: date) -> DataFrame:
 
 
 def avg_daily_revenue_per_grooming(src: Sources, as_of: date) -> DataFrame:
-    """Q15: monthly grooming revenue and groomings, both per day, divided."""
-    lines = _monthly_grooming_lines(src, as_of)
-    rev = _monthly_grooming_revenue(lines)
-    groomings = (
-        lines.groupBy("month", "channel", "name").agg(smart_qty().alias("smart_qty"))
-        .filter(F.col("smart_qty") > 0)
-        .groupBy("month", "channel").agg(F.sum("smart_qty").alias("groomings"))
-    )
+    """Q15: monthly grooming revenue and groomings, both per day, divided.
+
+    One aggregation per invoice gives both the grooming revenue and the smart
+    quantity; one more per (month, channel) gives both monthly figures."""
+    per_invoice = _monthly_grooming_lines(src, as_of).groupBy("month", "channel", "name").agg(
+        F.sum(GROSS).alias("rev"), smart_qty().alias("smart_qty"))
+    monthly = per_invoice.groupBy("month", "channel").agg(
+        F.sum("rev").alias("grooming_revenue"),
+        F.sum(F.when(F.col("smart_qty") > 0, F.col("smart_qty"))).alias("groomings"),
+    ).filter((F.col("grooming_revenue") > 0) & F.col("groomings").isNotNull())
     days = _days_counted("month", as_of).cast("double")
     per_day_rev = F.col("grooming_revenue").cast("double") / days
     per_day_groom = F.col("groomings").cast("double") / days
-    return rev.join(groomings, ["month", "channel"]).select(
+    return monthly.select(
         "month", "channel", money(F.col("grooming_revenue"), 0).alias("Grooming Revenue"),
         F.col("groomings").cast("double").alias("Groomings"),
         _days_counted("month", as_of).alias("Days Counted"),
