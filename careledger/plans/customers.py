@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as cfg
 from ..functions.exprs import pct
-from ..functions.params import channel_pred, month_start, relative_range, where
+from ..functions.params import add_months, channel_pred, month_start, relative_range, where
 from ..operators.shaping import pivot_fixed
 from ..sources.calendar import lit_table
 from ..sources.tables import Sources, customers, invoices
@@ -134,52 +134,63 @@ def cohort_retention(src: Sources, as_of: date, channel: str = "Both",
     return wide.withColumnRenamed("cohort_month", "Cohort").orderBy("Cohort")
 
 
-def _cohort_members(src: Sources, channel: str, cohort_month: date) -> DataFrame:
-    fv = first_visit(src, channel).filter(F.col("cohort_month") == F.lit(cohort_month))
-    return fv.join(customers(src), fv.customer == F.col("name")).select(
-        "customer", "first_visit", "cohort_month", F.col("customer_name"))
+def _with_names(per_customer: DataFrame, src: Sources) -> DataFrame:
+    """Inner join to the customer dimension (one row per customer on both sides)."""
+    return per_customer.join(customers(src), per_customer.customer == F.col("name")).drop("name")
 
 
 def cohort_cell_customers(src: Sources, as_of: date, channel: str = "Both", cohort_month: date | None = None,
                           months_since: int | None = None) -> DataFrame:
     """Q21: customers of one cohort cell with their invoices in that month.
-    Empty unless both the cohort and the offset are given (P15)."""
-    members = _cohort_members(src, channel, cohort_month or date(1900, 1, 1))
-    inv = paid_invoices(src, channel).select(F.col("customer").alias("c"), "name", "posting_date",
-                                             "base_grand_total")
-    joined = members.join(inv, members.customer == inv.c)
+    Empty unless both the cohort and the offset are given (P15).
+
+    One aggregation per customer over paid invoices gives the first visit and
+    the figures of the target month (cohort month + offset), so no customer's
+    invoices are shuffled by customer before being combined map-side. Invoice
+    ids are the primary key, so the invoice count is a row count.
+    """
     if cohort_month is None or months_since is None:
-        joined = joined.filter(F.lit(False))
+        target, cohort = date(1900, 1, 1), date(1900, 1, 1)
+        empty = True
     else:
-        joined = joined.filter(
-            month_index(F.trunc("posting_date", "MM")) - month_index(F.col("cohort_month")) == F.lit(months_since))
+        cohort = month_start(cohort_month)
+        target, empty = add_months(cohort, int(months_since)), False
+    in_cell = F.trunc("posting_date", "MM") == F.lit(target)
+    g = F.col("base_grand_total")
+    per_customer = paid_invoices(src, channel).groupBy("customer").agg(
+        F.min("posting_date").alias("first_visit"),
+        F.count(F.when(in_cell, F.lit(1))).alias("Invoices"),
+        F.sum(F.when(in_cell, g)).alias("revenue"),
+        F.min(F.when(in_cell, F.col("posting_date"))).alias("First Invoice This Period"),
+        F.max(F.when(in_cell, F.col("posting_date"))).alias("Last Invoice This Period"),
+    ).filter((F.trunc("first_visit", "MM") == F.lit(cohort)) & (F.col("Invoices") > 0))
+    if empty:
+        per_customer = per_customer.filter(F.lit(False))
     return (
-        joined.groupBy("customer", "customer_name", "first_visit")
-        .agg(F.countDistinct("name").alias("Invoices"),
-             F.round(F.sum("base_grand_total"), 0).cast("double").alias("Revenue"),
-             F.min("posting_date").alias("First Invoice This Period"),
-             F.max("posting_date").alias("Last Invoice This Period"))
+        _with_names(per_customer, src)
         .select(F.col("customer").alias("Customer ID"),
                 F.coalesce(F.col("customer_name"), F.col("customer")).alias("Customer"),
-                F.col("first_visit").alias("First Visit"), "Invoices", "Revenue",
+                F.col("first_visit").alias("First Visit"), "Invoices",
+                F.round(F.col("revenue"), 0).cast("double").alias("Revenue"),
                 "First Invoice This Period", "Last Invoice This Period")
         .orderBy(F.col("Revenue").desc(), F.col("Customer").asc())
     )
 
 
 def cohort_roster(src: Sources, as_of: date, cohort_month: date, channel: str = "Both") -> DataFrame:
-    """Q22: lifetime stats of every customer of one cohort."""
-    members = _cohort_members(src, channel, cohort_month)
-    inv = paid_invoices(src, channel).select(F.col("customer").alias("c"), "name", "posting_date",
-                                             "base_grand_total")
+    """Q22: lifetime stats of every customer of one cohort, from one
+    aggregation per customer over paid invoices."""
+    per_customer = paid_invoices(src, channel).groupBy("customer").agg(
+        F.min("posting_date").alias("first_visit"),
+        F.count(F.lit(1)).alias("Lifetime Invoices"),
+        F.sum("base_grand_total").alias("revenue"),
+        F.max("posting_date").alias("Last Visit"),
+    ).filter(F.trunc("first_visit", "MM") == F.lit(month_start(cohort_month)))
     return (
-        members.join(inv, members.customer == inv.c)
-        .groupBy("customer", "customer_name", "first_visit")
-        .agg(F.countDistinct("name").alias("Lifetime Invoices"),
-             F.round(F.sum("base_grand_total"), 0).cast("double").alias("Lifetime Revenue"),
-             F.max("posting_date").alias("Last Visit"))
+        _with_names(per_customer, src)
         .select(F.col("customer").alias("Customer ID"),
                 F.coalesce(F.col("customer_name"), F.col("customer")).alias("Customer"),
-                F.col("first_visit").alias("First Visit"), "Lifetime Invoices", "Lifetime Revenue", "Last Visit")
+                F.col("first_visit").alias("First Visit"), "Lifetime Invoices",
+                F.round(F.col("revenue"), 0).cast("double").alias("Lifetime Revenue"), "Last Visit")
         .orderBy(F.col("Lifetime Revenue").desc(), F.col("Customer").asc())
     )
