@@ -194,3 +194,13 @@ def cohort_roster(src: Sources, as_of: date, cohort_month: date, channel: str =
                 F.round(F.col("revenue"), 0).cast("double").alias("Lifetime Revenue"), "Last Visit")
         .orderBy(F.col("Lifetime Revenue").desc(), F.col("Customer").asc())
     )
+
+
+def cohort_drill(src: Sources, as_of: date, cohort: date, months_since: int | None = None,
+                 channel: str = "Both") -> DataFrame:
+    """Drill-through from the cohort matrix (Q20). A cell (cohort row,
+    month column) opens its customers (Q21); the cohort label opens the roster
+    of the whole cohort (Q22)."""
+    if months_since is None:
+        return cohort_roster(src, as_of, cohort, channel)
+    return cohort_cell_customers(src, as_of, channel, cohort, months_since)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as cfg
-from ..functions.exprs import (category, channel2, days_between, inr, is_blank, is_grooming_group, is_store,
+from ..functions.exprs import (category, channel2, inr, is_blank, is_grooming_group, is_store,
                                money, safe_div, smart_qty)
 from ..functions.params import (add_months, between_opt, channel_pred, last_day, month_start, relative_range,
                                 where)
