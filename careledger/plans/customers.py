@@ -18,7 +18,6 @@ from .. import config as cfg
 from ..functions.exprs import pct
 from ..functions.params import add_months, channel_pred, month_start, relative_range, where
 from ..operators.shaping import pivot_fixed
-from ..sources.calendar import lit_table
 from ..sources.tables import Sources, customers, invoices
 
 
@@ -117,15 +116,16 @@ def cohort_retention(src: Sources, as_of: date, channel: str = "Both",
                      max_months: int = cfg.MAX_COHORT_MONTHS) -> DataFrame:
     """Q20: cohort × months-since matrix of retention %. Elapsed cells without
     customers are 0.0, cells in the future are NULL, offsets > max_months drop."""
-    spark = src.sales_invoice.sparkSession
     fv = first_visit(src, channel)
     sizes = fv.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
     retained = customer_months(src, as_of, channel).filter(F.col("months_since") <= max_months) \
         .groupBy("cohort_month", "months_since").agg(F.count(F.lit(1)).alias("retained"))
-    offsets = lit_table(spark, [(m,) for m in range(max_months + 1)], ["months_since"])
     elapsed = month_index(F.lit(month_start(as_of))) - month_index(F.col("cohort_month"))
-    # cohorts (one per month) × 37 offsets: bounded by the calendar, not the data.
-    grid = sizes.crossJoin(F.broadcast(offsets)).filter(F.col("months_since") <= elapsed)
+    # One row per cohort (a month) and elapsed offset 0..min(elapsed, 36):
+    # bounded by the calendar, not the data.
+    grid = sizes.filter(elapsed >= 0).select(
+        "cohort_month", "cohort_size",
+        F.explode(F.sequence(F.lit(0), F.least(elapsed, F.lit(max_months)))).alias("months_since"))
     cells = grid.join(retained, ["cohort_month", "months_since"], "left").select(
         "cohort_month", "months_since",
         F.round(F.lit(100.0) * F.coalesce(F.col("retained"), F.lit(0)).cast("double")

@@ -21,7 +21,7 @@ from ..functions.params import (add_months, between_opt, channel_pred, last_day,
 from ..operators.allocation import GROSS, invoice_lines
 from ..operators.shaping import fill_spine, pivot_fixed
 from ..operators.sweep import rolling_distinct
-from ..sources.calendar import lit_table, spine, spine_numbered
+from ..sources.calendar import spine, spine_grid, spine_numbered
 from ..sources.tables import Sources, invoices, items
 
 
@@ -101,11 +101,10 @@ def daily_sales_by_channel(src: Sources, as_of: date, date_filter: str | None =
     if rng is not None:
         start, end = max(start, rng[0]), min(end, rng[1])
     spark = _spark(src)
-    channels = lit_table(spark, [(cfg.STORE_LABEL_LONG,), (cfg.TRUCK_LABEL,)], ["channel"])
     empty = end < start
     if empty:  # filter outside the spine: keep the schema, no rows
         start = end = as_of
-    grid = spine(spark, start, end).crossJoin(channels)
+    grid = spine_grid(spark, start, end, [(cfg.STORE_LABEL_LONG,), (cfg.TRUCK_LABEL,)], ["channel"])
     if empty:
         grid = grid.filter(F.lit(False))
     daily = (
@@ -138,8 +137,8 @@ def _past7_segment_sums(src: Sources, as_of: date) -> DataFrame:
 def past7_daily_sales(src: Sources, as_of: date) -> DataFrame:
     """Q05: last 7 complete days × 4 segments, tax-allocated gross, zero-filled."""
     spark = _spark(src)
-    grid = spine(spark, as_of - timedelta(days=7), as_of - timedelta(days=1)).crossJoin(
-        lit_table(spark, SEGMENTS, ["channel", "sales_type"]))
+    grid = spine_grid(spark, as_of - timedelta(days=7), as_of - timedelta(days=1), SEGMENTS,
+                      ["channel", "sales_type"])
     daily = _past7_segment_sums(src, as_of)
     filled = fill_spine(grid, daily, ["date", "channel", "sales_type"], {"gross_inr": F.lit(0)})
     return filled.select(
@@ -259,10 +258,12 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
 
     # Revenue per grooming only counts channels that have groomings (the
     # reference joins revenue onto the grooming rows).
+    # Both per-channel frames hold at most two rows; they meet on channel.
     has_g = F.col("g").isNotNull()
-    one = per_channel.agg(*wide(F.col("g"), "g"), *wide(F.col("r"), "r"),
-                          *wide(F.coalesce(F.col("r"), F.lit(0)), "cr", has_g), *wide(F.col("g"), "cg", has_g)) \
-        .crossJoin(sales.agg(*wide(F.col("mtd_sales"), "s")))
+    one = per_channel.join(sales, "channel", "full").agg(
+        *wide(F.col("g"), "g"), *wide(F.col("r"), "r"),
+        *wide(F.coalesce(F.col("r"), F.lit(0)), "cr", has_g), *wide(F.col("g"), "cg", has_g),
+        *wide(F.col("mtd_sales"), "s"))
 
     def dbl(name):
         return F.col(name).cast("double")
@@ -302,19 +303,22 @@ def mtd_vs_projection(src: Sources, as_of: date) -> DataFrame:
     """Q12: running actual (lakh, NULL from today on) vs projected pace."""
     spark = _spark(src)
     ms = month_start(as_of)
+    d = float(days_elapsed(as_of))
     days = spine_numbered(spark, ms, last_day(as_of), "date", "day_num")
     daily = _mtd_invoices(src, as_of).groupBy(F.col("posting_date").alias("date")) \
         .agg(F.sum("base_grand_total").alias("daily_gross"))
-    stats = _mtd_avg_daily(src, as_of)
-    w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = F.sum(F.coalesce(F.col("daily_gross"), F.lit(0))).over(w)
-    # ≤ 31 spine rows: the unpartitioned running sum is over the spine only.
+    # ≤ 31 spine rows: the running sum and the month's average (V19) are
+    # unpartitioned windows over the spine only.
+    running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy()
+    avg_daily = F.sum("daily_gross").over(whole).cast("double") / F.lit(d)
     return (
-        daily.join(F.broadcast(days), "date", "right").crossJoin(F.broadcast(stats))
+        daily.join(F.broadcast(days), "date", "right")
         .select("date",
-                F.when(F.col("date") < F.lit(as_of), F.round(running.cast("double") / F.lit(100000.0), 2))
-                .alias("Actual"),
-                F.round(F.col("avg_daily") * F.col("day_num") / F.lit(100000.0), 2).alias("Projected pace"))
+                F.when(F.col("date") < F.lit(as_of),
+                       F.round(F.sum(F.coalesce(F.col("daily_gross"), F.lit(0))).over(running).cast("double")
+                               / F.lit(100000.0), 2)).alias("Actual"),
+                F.round(avg_daily * F.col("day_num") / F.lit(100000.0), 2).alias("Projected pace"))
         .orderBy("date")
     )
 

@@ -30,6 +30,15 @@ def spine_numbered(spark: SparkSession, start: date, end: date, name: str = "dat
     )
 
 
+def spine_grid(spark: SparkSession, start: date, end: date, rows: list[tuple], columns: list[str],
+               name: str = "date") -> DataFrame:
+    """Spine × a literal dimension (channels, segments), built by exploding
+    the literal rows on each day: no join, (days × rows) output rows."""
+    structs = [F.struct(*[F.lit(v).alias(c) for v, c in zip(r, columns)]) for r in rows]
+    return spine(spark, start, end, name).select(name, F.explode(F.array(*structs)).alias("_d")) \
+        .select(name, *[F.col(f"_d.{c}").alias(c) for c in columns])
+
+
 def lit_table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
     """Small constant relation (channels, segments, offsets)."""
     return spark.createDataFrame(rows, columns)
