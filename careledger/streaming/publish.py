@@ -40,12 +40,28 @@ def publish(df: DataFrame, name: str, as_of: date, root: str) -> str:
 def run_all(src: Sources, as_of: date, root: str, names: Iterable[str] | None = None,
             params: dict[str, dict] | None = None) -> dict[str, str]:
     """K2: run every (or the named) registered query for one ``as_of`` and
-    publish each result. ``params`` overrides parameters per query name."""
+    publish each result. ``params`` overrides parameters per query name.
+
+    The queue cards (Q24-Q33) share one per-customer queue frame per channel.
+    It is built once and kept with a reliable ``checkpoint()`` in the shared
+    folder of ``spark.checkpoint.dir``. That cuts its lineage, so a lost
+    executor re-reads the checkpoint instead of recomputing the invoice joins.
+    """
+    from ..plans.followups import queue_base
+
+    spark = src.sales_invoice.sparkSession
     by_name = registry.by_name()
+    bases: dict[str, DataFrame] = {}
     out = {}
     for name in names or DEFAULT_ORDER:
         q = by_name[name]
         kwargs = {**q.params, **(params or {}).get(name, {})}
+        if getattr(q.build, "shares_queue_base", False):
+            channel = kwargs.get("channel", "Both")
+            if channel not in bases:
+                checkpoint_dir(spark)
+                bases[channel] = queue_base(src, as_of, channel).checkpoint(eager=True)
+            kwargs["base"] = bases[channel]
         out[name] = publish(q.build(src, as_of, **kwargs), name, as_of, root)
     return out
 

@@ -9,6 +9,8 @@ from careledger.config import DEFAULT_AS_OF
 from careledger.streaming.publish import publish, refresh_on_arrival, run_all
 
 NAMES = ["q07_mtd_revenue", "q32_kpi_total_in_queue", "q36_followups_mtd_by_agent"]
+QUEUE_CARDS = ["q24_followup_queue", "q24_followup_queue_truck_dormant_lost", "q26_kpi_past_due",
+               "q30_kpi_food_cross_sell", "q32_kpi_total_in_queue_store_products"]
 
 
 def test_publish_overwrites_only_its_day(spark, fixture_tables):
@@ -39,3 +41,16 @@ def test_refresh_on_arrival_runs_once_per_new_data(spark, fixture_tables):
     q.awaitTermination(300)
     got = spark.read.parquet(f"{results}/{NAMES[0]}").collect()
     assert len(got) == 1 and str(got[0]["as_of"]) == str(DEFAULT_AS_OF)
+
+
+def test_run_all_shared_queue_equals_per_query(spark, fixture_tables):
+    from careledger.plans import registry
+
+    root = tempfile.mkdtemp(prefix="careledger-run-")
+    paths = run_all(fixture_tables, DEFAULT_AS_OF, root, QUEUE_CARDS)
+    by_name = registry.by_name()
+    for name in QUEUE_CARDS:
+        direct = registry.run(by_name[name], fixture_tables)
+        published = spark.read.parquet(paths[name]).drop("as_of")
+        assert sorted(map(tuple, direct.collect()), key=str) == sorted(map(tuple, published.select(
+            *direct.columns).collect()), key=str), name
