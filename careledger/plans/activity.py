@@ -96,7 +96,10 @@ def followups_avg_daily(src: Sources, as_of: date) -> DataFrame:
 def followups_on_day_log(src: Sources, as_of: date, followup_day: date | None = None) -> DataFrame:
     """Q40: the day's follow-ups, newest first."""
     fu = _day_follow_ups(src, followup_day or as_of)
-    cust = customers(src).select(F.col("name").alias("c_name"), F.col("customer_name").alias("c_customer_name"))
+    # Only the day's customers are needed from the (large) customer dimension:
+    # a semi join first, so AQE can broadcast the small sides at run time.
+    cust = customers(src).join(fu.select(F.col("customer").alias("name")), "name", "left_semi") \
+        .select(F.col("name").alias("c_name"), F.col("customer_name").alias("c_customer_name"))
     return (
         fu.join(cust, F.col("customer") == F.col("c_name"), "left")
         .orderBy(F.col("creation").desc())
