@@ -53,3 +53,60 @@ def invoice_lines(src: Sources, lo: date | None = None, hi_excl: date | None = N
     out = lines.join(sums, "parent")
     return out.withColumn(GROSS, allocated(F.col("base_amount"), F.col("base_grand_total"), F.col("_line_sum"))) \
         .drop("_line_sum")
+
+
+def invoice_summary(src: Sources, lo: date | None = None, hi_excl: date | None = None,
+                    invoice_pred: Column | None = None,
+                    invoice_cols: tuple[str, ...] = ("posting_date", "pos_profile")) -> DataFrame:
+    """One row per submitted invoice (with lines) in [lo, hi_excl): the base
+    sums of the whole invoice, of its grooming/travel lines and of its other
+    lines, and the smart grooming quantity (A6).
+
+    Items join invoices on invoice id and the aggregate groups by that key, so
+    it adds no exchange; it is a partial aggregation, so a huge invoice is
+    combined map-side.
+    """
+    from ..functions.exprs import is_grooming_group, smart_qty
+
+    inv = invoices(src)
+    if lo is not None:
+        inv = inv.filter(F.col("posting_date") >= F.lit(lo))
+    if hi_excl is not None:
+        inv = inv.filter(F.col("posting_date") < F.lit(hi_excl))
+    inv = where(inv, invoice_pred)
+    keep = tuple(dict.fromkeys(("name", "base_grand_total") + tuple(invoice_cols)))
+    groom = is_grooming_group()
+    lines = items(src).join(inv.select(*keep), F.col("parent") == F.col("name"))
+    return lines.groupBy(*keep).agg(
+        F.sum("base_amount").alias("base_sum"),
+        F.sum(F.when(groom, F.col("base_amount"))).alias("grooming_base"),
+        F.count(F.when(groom, F.lit(1))).alias("grooming_lines"),
+        F.sum(F.when(groom, F.lit(None)).otherwise(F.col("base_amount"))).alias("product_base"),
+        F.count(F.when(groom, F.lit(None)).otherwise(F.lit(1))).alias("product_lines"),
+        smart_qty().alias("smart_qty"),
+    )
+
+
+def allocated_part(summary_part: str) -> Column:
+    """Tax-allocated gross of one part of an invoice (Σ of its lines' W1 shares)."""
+    return allocated(F.col(summary_part), F.col("base_grand_total"), F.col("base_sum"))
+
+
+def invoice_categories(src: Sources, lo: date | None = None, hi_excl: date | None = None,
+                       invoice_pred: Column | None = None,
+                       invoice_cols: tuple[str, ...] = ("posting_date", "pos_profile")) -> DataFrame:
+    """Tax-allocated gross per (invoice, category) for the categories an
+    invoice has lines in: ``B_c + (G - S) * B_c / S``, the exact sum of the
+    per-line allocations of that category (W1), carried as decimal(18,4)."""
+    from ..config import CATEGORY_GROOMING, CATEGORY_PRODUCT
+
+    summ = invoice_summary(src, lo, hi_excl, invoice_pred, invoice_cols)
+    parts = F.array(
+        F.when(F.col("grooming_lines") > 0,
+               F.struct(F.lit(CATEGORY_GROOMING).alias("category"), allocated_part("grooming_base").alias("g"))),
+        F.when(F.col("product_lines") > 0,
+               F.struct(F.lit(CATEGORY_PRODUCT).alias("category"), allocated_part("product_base").alias("g"))),
+    )
+    keep = tuple(dict.fromkeys(("name",) + tuple(invoice_cols)))
+    return summ.select(*keep, "smart_qty", F.explode(parts).alias("p")).filter(F.col("p").isNotNull()) \
+        .select(*keep, "smart_qty", F.col("p.category").alias("category"), F.col("p.g").alias(GROSS))

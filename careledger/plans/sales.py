@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as cfg
-from ..functions.exprs import (category, channel2, inr, is_blank, is_grooming_group, is_store,
+from ..functions.exprs import (channel2, inr, is_blank, is_grooming_group, is_store,
                                money, safe_div, smart_qty)
 from ..functions.params import (add_months, between_opt, channel_pred, last_day, month_start, relative_range,
                                 where)
-from ..operators.allocation import GROSS, invoice_lines
+from ..operators.allocation import GROSS, allocated_part, invoice_categories, invoice_summary
 from ..operators.shaping import fill_spine, pivot_fixed
 from ..operators.sweep import rolling_distinct
 from ..sources.calendar import spine, spine_grid, spine_numbered
@@ -125,11 +125,11 @@ SEGMENTS = [(cfg.STORE_LABEL_LONG, cfg.CATEGORY_GROOMING), (cfg.STORE_LABEL_LONG
 
 
 def _past7_segment_sums(src: Sources, as_of: date) -> DataFrame:
-    lines = invoice_lines(src, as_of - timedelta(days=7), as_of)
+    cats = invoice_categories(src, as_of - timedelta(days=7), as_of)
     return (
-        lines.select(F.col("posting_date").alias("date"),
-                     channel2(store_label=cfg.STORE_LABEL_LONG).alias("channel"),
-                     category().alias("sales_type"), GROSS)
+        cats.select(F.col("posting_date").alias("date"),
+                    channel2(store_label=cfg.STORE_LABEL_LONG).alias("channel"),
+                    F.col("category").alias("sales_type"), GROSS)
         .groupBy("date", "channel", "sales_type").agg(F.sum(GROSS).alias("gross_inr"))
     )
 
@@ -174,8 +174,8 @@ def past7_daily_sales_detail(src: Sources, as_of: date) -> DataFrame:
 # ---------------------------------------------------------------- Q07-Q11
 def mtd_revenue(src: Sources, as_of: date) -> DataFrame:
     """Q07: Σ tax-allocated lines month to date (today excluded), ₹-formatted."""
-    lines = invoice_lines(src, month_start(as_of), as_of, invoice_cols=())
-    return lines.agg(F.sum(GROSS).alias("total")).select(inr(F.col("total")).alias("Value"))
+    cats = invoice_categories(src, month_start(as_of), as_of, invoice_cols=())
+    return cats.agg(F.sum(GROSS).alias("total")).select(inr(F.col("total")).alias("Value"))
 
 
 def _invoice_smart_qty(src: Sources, inv: DataFrame, keys: list[str]) -> DataFrame:
@@ -203,11 +203,11 @@ CATEGORY_ORDER = [cfg.CATEGORY_GROOMING, cfg.CATEGORY_PRODUCT, "Total"]
 
 def mtd_revenue_by_channel_category(src: Sources, as_of: date) -> DataFrame:
     """Q10: category × Store/Truck/Total, plus a total row over the rounded cells."""
-    lines = invoice_lines(src, month_start(as_of), as_of)
+    cats = invoice_categories(src, month_start(as_of), as_of)
     g = F.col(GROSS)
     store = channel2() == cfg.STORE_LABEL
     per_cat = (
-        lines.groupBy(category().alias("Category"))
+        cats.groupBy(F.col("category").alias("Category"))
         .agg(F.round(F.sum(F.when(store, g).otherwise(F.lit(0))), 0).alias("store_amt"),
              F.round(F.sum(F.when(~store, g).otherwise(F.lit(0))), 0).alias("truck_amt"),
              F.round(F.sum(g), 0).alias("total_amt"))
@@ -233,14 +233,11 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
     (X5). ``numeric=True`` returns the unformatted doubles instead.
     """
     d = float(days_elapsed(as_of))
-    # One pass over the month's allocated lines: per invoice the smart
-    # grooming quantity and the grooming revenue, then per channel (≤ 2 rows).
-    per_invoice = (
-        invoice_lines(src, month_start(as_of), as_of)
-        .groupBy("name", channel2().alias("channel"))
-        .agg(smart_qty().alias("sq"),
-             F.sum(F.when(is_grooming_group(), F.col(GROSS))).alias("groom_rev"))
-    )
+    # One aggregation per invoice gives the smart grooming quantity and the
+    # grooming revenue; then per channel (≤ 2 rows).
+    per_invoice = invoice_summary(src, month_start(as_of), as_of).select(
+        channel2().alias("channel"), F.col("smart_qty").alias("sq"),
+        F.when(F.col("grooming_lines") > 0, allocated_part("grooming_base")).alias("groom_rev"))
     per_channel = per_invoice.groupBy("channel").agg(
         F.sum(F.when(F.col("sq") > 0, F.col("sq"))).alias("g"),
         F.sum("groom_rev").alias("r"),
@@ -335,21 +332,22 @@ def _days_counted(month: str, as_of: date):
     return (F.datediff(end, F.col(month)) + 1).cast("int")
 
 
-def _monthly_grooming_lines(src: Sources, as_of: date) -> DataFrame:
-    lines = invoice_lines(src, None, as_of)  # allocation over whole invoices, then filter
-    return lines.filter(is_grooming_group()).select(
+def _monthly_grooming_invoices(src: Sources, as_of: date) -> DataFrame:
+    """Invoices before as_of with grooming lines: month, channel, allocated
+    grooming revenue (allocation over the whole invoice) and smart quantity."""
+    return invoice_summary(src, None, as_of).filter(F.col("grooming_lines") > 0).select(
         F.trunc("posting_date", "MM").alias("month"), channel2().alias("channel"),
-        "name", "item_group", "item_code", "qty", GROSS)
+        allocated_part("grooming_base").alias("rev"), "smart_qty")
 
 
-def _monthly_grooming_revenue(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("month", "channel").agg(F.sum(GROSS).alias("grooming_revenue")) \
+def _monthly_grooming_revenue(per_invoice: DataFrame) -> DataFrame:
+    return per_invoice.groupBy("month", "channel").agg(F.sum("rev").alias("grooming_revenue")) \
         .filter(F.col("grooming_revenue") > 0)
 
 
 def avg_daily_grooming_revenue(src: Sources, as_of: date) -> DataFrame:
     """Q14: grooming revenue per month and channel / days counted."""
-    rev = _monthly_grooming_revenue(_monthly_grooming_lines(src, as_of))
+    rev = _monthly_grooming_revenue(_monthly_grooming_invoices(src, as_of))
     days = _days_counted("month", as_of)
     return rev.select(
         "month", "channel", money(F.col("grooming_revenue"), 0).alias("Grooming Revenue"),
@@ -363,8 +361,7 @@ def avg_daily_revenue_per_grooming(src: Sources, as_of: date) -> DataFrame:
 
     One aggregation per invoice gives both the grooming revenue and the smart
     quantity; one more per (month, channel) gives both monthly figures."""
-    per_invoice = _monthly_grooming_lines(src, as_of).groupBy("month", "channel", "name").agg(
-        F.sum(GROSS).alias("rev"), smart_qty().alias("smart_qty"))
+    per_invoice = _monthly_grooming_invoices(src, as_of)
     monthly = per_invoice.groupBy("month", "channel").agg(
         F.sum("rev").alias("grooming_revenue"),
         F.sum(F.when(F.col("smart_qty") > 0, F.col("smart_qty"))).alias("groomings"),
