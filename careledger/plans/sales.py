@@ -389,13 +389,10 @@ def rolling_30d(src: Sources, as_of: date, channel: str = "Both",
         (F.col("posting_date") >= F.lit(start - timedelta(days=w))) & (F.col("posting_date") <= F.lit(end)))
     active = rolling_distinct(spark, inv, "customer", "posting_date", start, end, w,
                               date_col="Date", out="Active Customers (30D)")
-    # Daily groomings (smart qty over all lines of each invoice), then a
-    # 31-row running window over the gap-free day spine.
-    per_invoice = (
-        items(src).join(inv.select("name", "posting_date"), F.col("parent") == F.col("name"))
-        .groupBy("name", "posting_date").agg(smart_qty().alias("smart_qty"))
-        .filter(F.col("smart_qty") > 0)
-    )
+    # Daily groomings (smart qty per invoice; only grooming lines can make it
+    # positive, so the item-group filter is pushed into the items scan), then
+    # a 31-row running window over the gap-free day spine.
+    per_invoice = _invoice_smart_qty(src, inv, ["name", "posting_date"])
     daily = per_invoice.groupBy(F.col("posting_date").alias("Date")).agg(F.sum("smart_qty").alias("g"))
     days = spine(spark, start - timedelta(days=w), end, "Date")
     rw = Window.orderBy("Date").rowsBetween(-w, 0)
