@@ -68,17 +68,35 @@ def returning_customers_mtd(src: Sources, as_of: date, channel: str = "Both") ->
         F.count(F.when((F.col("first_visit") < F.lit(ms)) & (F.col("bought_mtd") == 1), F.lit(1))).alias("Count"))
 
 
-def monthly_invoices(src: Sources, as_of: date, channel: str = "Both") -> DataFrame:
-    """V4: distinct invoices per (customer, month), current-month cut-off applied."""
-    inv = paid_invoices(src, channel).filter(complete_days(as_of))
-    return inv.groupBy("customer", F.trunc("posting_date", "MM").alias("month")) \
-        .agg(F.countDistinct("name").alias("invoice_count"))
+def customer_month_facts(src: Sources, as_of: date, channel: str = "Both") -> DataFrame:
+    """Paid invoices per (customer, month): all invoices, invoices on complete
+    days (C15) and the first day. One partial aggregation over the invoices;
+    at most one row per month per customer."""
+    return paid_invoices(src, channel).groupBy("customer", F.trunc("posting_date", "MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_invoices"),
+        F.count(F.when(complete_days(as_of), F.lit(1))).alias("n_complete"),
+        F.min("posting_date").alias("first_day"),
+    )
+
+
+def first_visit_of(facts: DataFrame) -> DataFrame:
+    """V3 from the (customer, month) facts (a far smaller input than invoices)."""
+    return facts.groupBy("customer").agg(F.min("first_day").alias("first_visit")) \
+        .withColumn("cohort_month", F.trunc("first_visit", "MM"))
+
+
+def monthly_invoices(facts: DataFrame) -> DataFrame:
+    """V4: invoices per (customer, month) with the current-month cut-off.
+    Invoice ids are the primary key, so the distinct count is a row count."""
+    return facts.filter(F.col("n_complete") > 0).select("customer", "month",
+                                                        F.col("n_complete").alias("invoice_count"))
 
 
 def monthly_retention_trend(src: Sources, as_of: date, channel: str = "Both") -> DataFrame:
     """Q19: per month total, returning, new and multi-visit customers with shares."""
-    fv = first_visit(src, channel)
-    mi = monthly_invoices(src, as_of, channel).join(fv.select("customer", "first_visit"), "customer")
+    facts = customer_month_facts(src, as_of, channel)
+    fv = first_visit_of(facts)
+    mi = monthly_invoices(facts).join(fv.select("customer", "first_visit"), "customer")
     by_month = mi.groupBy("month").agg(
         F.count(F.lit(1)).alias("total"),
         F.count(F.when(F.col("first_visit") < F.col("month"), F.lit(1))).alias("returning"),
@@ -101,14 +119,11 @@ def monthly_retention_trend(src: Sources, as_of: date, channel: str = "Both") ->
     )
 
 
-def customer_months(src: Sources, as_of: date, channel: str = "Both") -> DataFrame:
+def customer_months(facts: DataFrame, fv: DataFrame) -> DataFrame:
     """V5: distinct (customer, cohort, activity month, months since first visit)."""
-    fv = first_visit(src, channel)
-    act = paid_invoices(src, channel).filter(complete_days(as_of)) \
-        .select("customer", F.trunc("posting_date", "MM").alias("activity_month")).distinct()
-    return act.join(fv.select("customer", "cohort_month"), "customer").select(
-        "customer", "cohort_month", "activity_month",
-        (month_index(F.col("activity_month")) - month_index(F.col("cohort_month"))).alias("months_since"),
+    return monthly_invoices(facts).join(fv.select("customer", "cohort_month"), "customer").select(
+        "customer", "cohort_month", F.col("month").alias("activity_month"),
+        (month_index(F.col("month")) - month_index(F.col("cohort_month"))).alias("months_since"),
     ).filter(F.col("months_since") >= 0)
 
 
@@ -116,9 +131,10 @@ def cohort_retention(src: Sources, as_of: date, channel: str = "Both",
                      max_months: int = cfg.MAX_COHORT_MONTHS) -> DataFrame:
     """Q20: cohort × months-since matrix of retention %. Elapsed cells without
     customers are 0.0, cells in the future are NULL, offsets > max_months drop."""
-    fv = first_visit(src, channel)
+    facts = customer_month_facts(src, as_of, channel)
+    fv = first_visit_of(facts)
     sizes = fv.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    retained = customer_months(src, as_of, channel).filter(F.col("months_since") <= max_months) \
+    retained = customer_months(facts, fv).filter(F.col("months_since") <= max_months) \
         .groupBy("cohort_month", "months_since").agg(F.count(F.lit(1)).alias("retained"))
     elapsed = month_index(F.lit(month_start(as_of))) - month_index(F.col("cohort_month"))
     # One row per cohort (a month) and elapsed offset 0..min(elapsed, 36):
