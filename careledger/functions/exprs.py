@@ -2,6 +2,9 @@
 ordered distinct lists (A7) and the Indian-rupee formatter (F22).
 
 All are built-in Spark expressions, so they stay inside whole-stage codegen.
+Given column *names*, each is built as one SQL expression (``F.expr``): a
+single JVM call instead of one per sub-expression, which keeps query
+construction cheap. Given ``Column`` objects, they compose Columns.
 """
 
 from __future__ import annotations
@@ -18,56 +21,85 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_name(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def sql_lit(v) -> str:
+    """SQL literal of a string, number or date."""
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, date):
+        return f"DATE'{v.isoformat()}'"
+    return str(v)
+
+
+def sql_in(values) -> str:
+    return "(" + ", ".join(sql_lit(v) for v in values) + ")"
+
+
 # Grouping channel. Named POS profile -> store, everything else -> truck.
 def channel2(pos_profile: str | Column = "pos_profile", store_label: str = cfg.STORE_LABEL) -> Column:
-    return F.when(col(pos_profile) == cfg.STORE_POS_PROFILE, F.lit(store_label)).otherwise(F.lit(cfg.TRUCK_LABEL))
+    if isinstance(pos_profile, str):
+        return F.expr(f"CASE WHEN {sql_name(pos_profile)} = {sql_lit(cfg.STORE_POS_PROFILE)} "
+                      f"THEN {sql_lit(store_label)} ELSE {sql_lit(cfg.TRUCK_LABEL)} END")
+    return F.when(pos_profile == cfg.STORE_POS_PROFILE, F.lit(store_label)).otherwise(F.lit(cfg.TRUCK_LABEL))
 
 
 def is_store(pos_profile: str | Column = "pos_profile") -> Column:
-    return col(pos_profile) == cfg.STORE_POS_PROFILE
+    if isinstance(pos_profile, str):
+        return F.expr(f"{sql_name(pos_profile)} = {sql_lit(cfg.STORE_POS_PROFILE)}")
+    return pos_profile == cfg.STORE_POS_PROFILE
 
 
 def is_blank(c: str | Column) -> Column:
     """NULL, empty or spaces only (IFNULL(NULLIF(TRIM(c), ''), '') = '')."""
-    return F.coalesce(F.trim(col(c)), F.lit("")) == ""
+    if isinstance(c, str):
+        return F.expr(f"coalesce(trim({sql_name(c)}), '') = ''")
+    return F.coalesce(F.trim(c), F.lit("")) == ""
 
 
 def is_set(c: str | Column) -> Column:
     """Non-NULL and not the empty string (no trim), as `x IS NOT NULL AND x != ''`."""
-    return col(c).isNotNull() & (col(c) != "")
+    if isinstance(c, str):
+        return F.expr(f"{sql_name(c)} IS NOT NULL AND {sql_name(c)} != ''")
+    return c.isNotNull() & (c != "")
 
 
 # Sales category of a line.
 def is_grooming_group(item_group: str | Column = "item_group") -> Column:
-    return col(item_group).isin(*cfg.GROOMING_GROUPS)
+    if isinstance(item_group, str):
+        return F.expr(f"{sql_name(item_group)} IN {sql_in(cfg.GROOMING_GROUPS)}")
+    return item_group.isin(*cfg.GROOMING_GROUPS)
 
 
 def category(item_group: str | Column = "item_group") -> Column:
+    if isinstance(item_group, str):
+        return F.expr(f"CASE WHEN {sql_name(item_group)} IN {sql_in(cfg.GROOMING_GROUPS)} "
+                      f"THEN {sql_lit(cfg.CATEGORY_GROOMING)} ELSE {sql_lit(cfg.CATEGORY_PRODUCT)} END")
     return F.when(is_grooming_group(item_group), F.lit(cfg.CATEGORY_GROOMING)).otherwise(F.lit(cfg.CATEGORY_PRODUCT))
 
 
 def is_food_group(item_group: str | Column = "item_group") -> Column:
-    return col(item_group).isin(*cfg.FOOD_GROUPS)
+    if isinstance(item_group, str):
+        return F.expr(f"{sql_name(item_group)} IN {sql_in(cfg.FOOD_GROUPS)}")
+    return item_group.isin(*cfg.FOOD_GROUPS)
 
 
 # Food type label of an item group.
-def food_type(item_group: str | Column = "item_group") -> Column:
-    expr = None
-    for group, label in cfg.FOOD_TYPES:
-        cond = col(item_group) == group
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
+def food_type(item_group: str = "item_group") -> Column:
+    whens = " ".join(f"WHEN {sql_lit(g)} THEN {sql_lit(label)}" for g, label in cfg.FOOD_TYPES)
+    return F.expr(f"CASE {sql_name(item_group)} {whens} END")
 
 
 # Smart grooming quantity of one invoice (use inside .agg()).
-def smart_qty(item_group: str | Column = "item_group", item_code: str | Column = "item_code",
-              qty: str | Column = "qty") -> Column:
+def smart_qty(item_group: str = "item_group", item_code: str = "item_code", qty: str = "qty") -> Column:
     """Σ qty of base grooming lines when positive, else the largest add-on qty."""
-    grooming = col(item_group) == cfg.GROOMING_SERVICES
-    add_on = col(item_code).contains(cfg.ADD_ON_MARKER)
-    base_sum = F.sum(F.when(grooming & ~add_on, col(qty)).otherwise(F.lit(0)))
-    add_max = F.max(F.when(grooming & add_on, col(qty)).otherwise(F.lit(0)))
-    return F.when(base_sum > 0, base_sum).otherwise(add_max)
+    g = f"{sql_name(item_group)} = {sql_lit(cfg.GROOMING_SERVICES)}"
+    add = f"contains({sql_name(item_code)}, {sql_lit(cfg.ADD_ON_MARKER)})"
+    base = f"sum(CASE WHEN {g} AND NOT {add} THEN {sql_name(qty)} ELSE 0 END)"
+    return F.expr(f"CASE WHEN {base} > 0 THEN {base} "
+                  f"ELSE max(CASE WHEN {g} AND {add} THEN {sql_name(qty)} ELSE 0 END) END")
 
 
 # Ordered distinct list joined by ', ' (NULL when there is nothing to list).
@@ -76,31 +108,25 @@ def joined_set(c: str | Column, sep: str = ", ") -> Column:
 
 
 # C10: 'Grooming', 'Products', both or NULL from 0/1 flags.
-def buys(has_grooming: str | Column = "has_grooming", has_products: str | Column = "has_products") -> Column:
-    g = F.coalesce(col(has_grooming), F.lit(0)) == 1
-    p = F.coalesce(col(has_products), F.lit(0)) == 1
-    return (F.when(g & p, F.lit("Grooming, Products"))
-            .when(g, F.lit("Grooming"))
-            .when(p, F.lit("Products")))
+def buys(has_grooming: str = "has_grooming", has_products: str = "has_products") -> Column:
+    g = f"coalesce({sql_name(has_grooming)}, 0) = 1"
+    p = f"coalesce({sql_name(has_products)}, 0) = 1"
+    return F.expr(f"CASE WHEN {g} AND {p} THEN 'Grooming, Products' WHEN {g} THEN 'Grooming' "
+                  f"WHEN {p} THEN 'Products' END")
 
 
 # Call status bucket flag.
-def call_bucket(status: str | Column, values: tuple[str, ...]) -> Column:
-    return F.when(F.upper(col(status)).isin(*values), F.lit(1)).otherwise(F.lit(0))
+def call_bucket(status: str, values: tuple[str, ...]) -> Column:
+    return F.expr(f"CASE WHEN upper({sql_name(status)}) IN {sql_in(values)} THEN 1 ELSE 0 END")
 
 
-# Agent name by email or phone; the agents frame is config-sized.
-def agent_name_case(key: str | Column, agents: list[dict], by: str = "email", fallback: Column | None = None) -> Column:
-    """CASE over the configured agents (a handful of literals, no join)."""
-    expr = None
-    for a in agents:
-        value = a[by]
-        if not value:
-            continue
-        cond = col(key) == value
-        expr = F.when(cond, F.lit(a["name"])) if expr is None else expr.when(cond, F.lit(a["name"]))
-    fb = fallback if fallback is not None else F.lit("Unknown")
-    return fb if expr is None else expr.otherwise(fb)
+# Agent name by email or phone; the agents list is config-sized.
+def agent_name_case(key: str, agents: list[dict], by: str = "email", fallback: str | None = None) -> Column:
+    """CASE over the configured agents (a handful of literals, no join);
+    ``fallback`` is a column name (default: the literal 'Unknown')."""
+    whens = " ".join(f"WHEN {sql_lit(a[by])} THEN {sql_lit(a['name'])}" for a in agents if a[by])
+    fb = sql_name(fallback) if fallback else "'Unknown'"
+    return F.expr(f"CASE {sql_name(key)} {whens} ELSE {fb} END") if whens else F.expr(fb)
 
 
 # D3: division that gives NULL on a zero divisor, in double.
@@ -125,7 +151,27 @@ def days_between(later: Column | date, earlier: Column | date) -> Column:
 
 
 # '₹' + Indian digit grouping (3, then 2, 2); NULL stays NULL.
-def inr(amount: Column) -> Column:
+def inr_sql(x: str) -> str:
+    """The formatter as Spark SQL text over the SQL expression ``x``."""
+    a = f"CAST(ROUND({x}) AS BIGINT)"
+    three = f"lpad(CAST({a} % 1000 AS STRING), 3, '0')"
+    two_k = f"lpad(CAST(({a} % 100000) div 1000 AS STRING), 2, '0')"
+    two_l = f"lpad(CAST(({a} % 10000000) div 100000 AS STRING), 2, '0')"
+    return (f"concat('₹', CASE WHEN {a} < 1000 THEN CAST({a} AS STRING) "
+            f"WHEN {a} < 100000 THEN concat(CAST({a} div 1000 AS STRING), ',', {three}) "
+            f"WHEN {a} < 10000000 THEN concat(CAST({a} div 100000 AS STRING), ',', {two_k}, ',', {three}) "
+            f"ELSE concat(CAST({a} div 10000000 AS STRING), ',', {two_l}, ',', {two_k}, ',', {three}) END)")
+
+
+def inr(amount: Column | str) -> Column:
+    """₹ formatting of a column (by name: one SQL expression, parsed JVM-side)."""
+    if isinstance(amount, str):
+        return F.expr(inr_sql(f"`{amount}`"))
+    return _inr_column(amount)
+
+
+def _inr_column(amount: Column) -> Column:
+    """Column-built form for arbitrary expressions (many small JVM calls)."""
     a = F.round(amount, 0).cast("bigint")
 
     def part(divisor: int, modulus: int | None, width: int) -> Column:

@@ -105,7 +105,7 @@ def followups_on_day_log(src: Sources, as_of: date, followup_day: date | None =
         .orderBy(F.col("creation").desc())
         .select(
             F.date_format("creation", "HH:mm").alias("Time"),
-            agent_name_case("agent", src.agent_list, "email", F.col("agent")).alias("Agent"),
+            agent_name_case("agent", src.agent_list, "email", "agent").alias("Agent"),
             F.coalesce(F.nullif(F.trim("customer_name"), F.lit("")), F.col("c_customer_name"),
                        F.col("customer")).alias("Customer"),
             F.col("customer").alias("Customer ID"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as cfg
-from ..functions.exprs import (channel2, inr, is_blank, is_grooming_group, is_store,
+from ..functions.exprs import (channel2, inr, inr_sql, is_blank, is_grooming_group, is_store,
                                money, safe_div, smart_qty)
 from ..functions.params import (add_months, between_opt, channel_pred, last_day, month_start, relative_range,
                                 where)
@@ -175,7 +175,7 @@ def past7_daily_sales_detail(src: Sources, as_of: date) -> DataFrame:
 def mtd_revenue(src: Sources, as_of: date) -> DataFrame:
     """Q07: Σ tax-allocated lines month to date (today excluded), ₹-formatted."""
     cats = invoice_categories(src, month_start(as_of), as_of, invoice_cols=())
-    return cats.agg(F.sum(GROSS).alias("total")).select(inr(F.col("total")).alias("Value"))
+    return cats.agg(F.sum(GROSS).alias("total")).select(inr("total").alias("Value"))
 
 
 def _invoice_smart_qty(src: Sources, inv: DataFrame, keys: list[str]) -> DataFrame:
@@ -195,7 +195,7 @@ def avg_daily_revenue(src: Sources, as_of: date) -> DataFrame:
     """Q09: Σ grand total month to date / complete days, ₹."""
     d = days_elapsed(as_of)
     return _mtd_invoices(src, as_of).agg(
-        inr(F.sum("base_grand_total").cast("double") / F.lit(float(d))).alias("Value"))
+        (F.sum("base_grand_total").cast("double") / F.lit(float(d))).alias("avg")).select(inr("avg").alias("Value"))
 
 
 CATEGORY_ORDER = [cfg.CATEGORY_GROOMING, cfg.CATEGORY_PRODUCT, "Total"]
@@ -216,16 +216,12 @@ def mtd_revenue_by_channel_category(src: Sources, as_of: date) -> DataFrame:
     rows = per_cat.rollup("Category").agg(*[F.sum(c).alias(c) for c in ("store_amt", "truck_amt", "total_amt")]) \
         .withColumn("Category", F.coalesce(F.col("Category"), F.lit("Total")))
     return rows.select(
-        "Category", inr(F.col("store_amt")).alias("Store"), inr(F.col("truck_amt")).alias("Truck"),
-        inr(F.col("total_amt")).alias("Total"),
+        "Category", inr("store_amt").alias("Store"), inr("truck_amt").alias("Truck"),
+        inr("total_amt").alias("Total"),
         F.array_position(F.array(*[F.lit(c) for c in CATEGORY_ORDER]), F.col("Category")).alias("_ord"),
     ).orderBy("_ord").drop("_ord")
 
 
-def _fmt_count(c, digits: int):
-    return F.round(c, digits).cast(f"decimal(20,{digits})").cast("string")
-
-
 def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) -> DataFrame:
     """Q11: five grooming metrics × Store/Truck/Total for the month to date.
 
@@ -266,26 +262,28 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
         return F.col(name).cast("double")
 
     metrics = [
-        ("MTD Groomings", "count0", [F.round(F.col(f"g_{x}"), 0) for x in "sta"]),
+        ("MTD Groomings", "count0", [F.round(dbl(f"g_{x}"), 0) for x in "sta"]),
         ("Avg Daily Groomings", "count1", [F.round(dbl(f"g_{x}") / F.lit(d), 1) for x in "sta"]),
         ("Avg Daily Grooming Revenue", "rupee", [F.round(dbl(f"r_{x}") / F.lit(d), 0) for x in "sta"]),
         ("MTD Avg Revenue per Grooming", "rupee",
-         [F.round(safe_div(F.col(f"cr_{x}"), F.col(f"cg_{x}")), 0) for x in "sta"]),
+         [F.round(safe_div(F.col(f"cr_{x}"), F.col(f"g_{x}")), 0) for x in "sta"]),
         ("Avg Daily Revenue (incl. tax)", "rupee", [F.round(dbl(f"s_{x}") / F.lit(d), 0) for x in "sta"]),
     ]
-    # The one-row frame is computed once; the five metric rows come from a
-    # single explode of an array of structs.
-    rows = []
-    for i, (name, kind, vals) in enumerate(metrics):
-        if numeric:
-            cells = [v.cast("double") for v in vals]
-        elif kind == "rupee":
-            cells = [inr(v) for v in vals]
-        else:
-            cells = [_fmt_count(v, 0 if kind == "count0" else 1) for v in vals]
-        rows.append(F.struct(F.lit(i).alias("_ord"), F.lit(name).alias("Metric"),
-                             *(cell.alias(n) for cell, n in zip(cells, ["Store", "Truck", "Total"]))))
-    return one.select(F.explode(F.array(*rows)).alias("m")).select("m.*").orderBy("_ord").drop("_ord")
+    # One numeric row per metric from the single-row frame, then C18: the
+    # value kind picks the format, in one SQL expression per cell.
+    rows = [F.struct(F.lit(i).alias("_ord"), F.lit(name).alias("Metric"), F.lit(kind).alias("kind"),
+                     *(v.alias(c) for v, c in zip(vals, ["Store", "Truck", "Total"])))
+            for i, (name, kind, vals) in enumerate(metrics)]
+    numeric_rows = one.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+    if numeric:
+        return numeric_rows.orderBy("_ord").select("Metric", "Store", "Truck", "Total")
+
+    def formatted(c):
+        return F.expr(f"CASE kind WHEN 'rupee' THEN {inr_sql(c)} "
+                      f"WHEN 'count0' THEN CAST(CAST({c} AS DECIMAL(20,0)) AS STRING) "
+                      f"ELSE CAST(CAST({c} AS DECIMAL(20,1)) AS STRING) END").alias(c)
+
+    return numeric_rows.orderBy("_ord").select("Metric", *(formatted(c) for c in ["Store", "Truck", "Total"]))
 
 
 # ---------------------------------------------------------------- Q12-Q13
@@ -323,7 +321,8 @@ def mtd_vs_projection(src: Sources, as_of: date) -> DataFrame:
 def projected_month_end_sales(src: Sources, as_of: date) -> DataFrame:
     """Q13: average daily sales × days in the month, ₹."""
     dim = float(last_day(as_of).day)
-    return _mtd_avg_daily(src, as_of).select(inr(F.col("avg_daily") * F.lit(dim)).alias("Value"))
+    return _mtd_avg_daily(src, as_of).select((F.col("avg_daily") * F.lit(dim)).alias("projected")) \
+        .select(inr("projected").alias("Value"))
 
 
 # ---------------------------------------------------------------- Q14-Q15

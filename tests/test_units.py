@@ -28,6 +28,8 @@ def test_inr_spark(spark):
     df = spark.createDataFrame([(float(v) if v is not None else None,) for v, _ in INR_CASES], "x double")
     got = [r[0] for r in df.select(inr(F.col("x"))).collect()]
     assert got == [e for _, e in INR_CASES]
+    by_name = [r[0] for r in df.select(inr("x")).collect()]  # the SQL-text form
+    assert by_name == [e for _, e in INR_CASES]
 
 
 def test_inr_oracle_sql_agrees():
