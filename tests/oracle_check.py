@@ -28,11 +28,14 @@ def duck_con(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("EXACT") == "1"  # compare doubles bit for bit
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "to_pydatetime"):
         return v.to_pydatetime()
     return v
