@@ -1 +1 @@
-"""careledger: retail and CRM analytics on Spark DataFrames."""
+"""Column expressions and parameter predicates (built-in Spark expressions only)."""

@@ -1 +1 @@
-"""careledger: retail and CRM analytics on Spark DataFrames."""
+"""Reusable DataFrame operators: tax allocation, interval sweep-line, result shaping."""

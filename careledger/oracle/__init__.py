@@ -1,0 +1 @@
+"""DuckDB oracle SQL used to check every registered query."""

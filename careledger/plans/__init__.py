@@ -1 +1 @@
-"""careledger: retail and CRM analytics on Spark DataFrames."""
+"""The dashboard queries (Q01-Q40) and their registry."""

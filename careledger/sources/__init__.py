@@ -1 +1 @@
-"""careledger: retail and CRM analytics on Spark DataFrames."""
+"""Base tables: scans, the fixture adapter, agent config and date spines."""

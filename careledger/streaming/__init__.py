@@ -1 +1 @@
-"""careledger: retail and CRM analytics on Spark DataFrames."""
+"""Publishing results per as_of, dashboard runs and refresh on new data."""
