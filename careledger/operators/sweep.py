@@ -16,27 +16,26 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import sql_lit, sql_name
 from ..sources.calendar import spine
 
 
 def sweep_count(spark: SparkSession, intervals: DataFrame, start: date, end: date,
                 lo: str = "lo", hi: str = "hi", date_col: str = "date", out: str = "count") -> DataFrame:
     """Spine [start, end] with the number of intervals [lo, hi) covering each day."""
-    s, e = F.lit(start), F.lit(end)
-    iv = intervals.select(F.greatest(F.col(lo), s).alias("lo"), F.col(hi).alias("hi")) \
-        .filter((F.col("lo") < F.col("hi")) & (F.col("lo") <= e))
+    s, e = sql_lit(start), sql_lit(end)
+    iv = intervals.selectExpr(f"greatest({sql_name(lo)}, {s}) AS lo", f"{sql_name(hi)} AS hi") \
+        .filter(f"lo < hi AND lo <= {e}")
     deltas = (
-        iv.select(F.col("lo").alias("d"), F.lit(1).alias("delta"))
-        .unionByName(iv.filter(F.col("hi") <= e).select(F.col("hi").alias("d"), F.lit(-1).alias("delta")))
+        iv.selectExpr("lo AS d", "1 AS delta")
+        .unionByName(iv.filter(f"hi <= {e}").selectExpr("hi AS d", "-1 AS delta"))
         .groupBy("d").agg(F.sum("delta").alias("delta"))
     )
     days = spine(spark, start, end, date_col)
-    w = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        days.join(F.broadcast(deltas), days[date_col] == deltas["d"], "left")
-        .select(date_col, F.coalesce(F.col("delta"), F.lit(0)).alias("delta"))
-        .select(date_col, F.sum("delta").over(w).cast("bigint").alias(out))
-    )
+    dc = sql_name(date_col)
+    return days.join(F.broadcast(deltas), days[date_col] == deltas["d"], "left").selectExpr(
+        dc, f"CAST(sum(coalesce(delta, 0)) OVER (ORDER BY {dc} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+            f"AS BIGINT) AS {sql_name(out)}")
 
 
 def visit_intervals(visits: DataFrame, key: str, day: str, width: int) -> DataFrame:
