@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import sql_lit, sql_name
@@ -46,20 +46,17 @@ def visit_intervals(visits: DataFrame, key: str, day: str, width: int) -> DataFr
     key, so its size is bounded by the length of the date range, not by the
     number of rows of a hot key.
     """
-    w = Window.partitionBy(key).orderBy(day)
-    nxt = F.lead(day).over(w)
-    far = F.date_add(F.col(day), width)
-    return visits.select(key, day).distinct().select(
-        key,
-        F.col(day).alias("lo"),
-        F.when(nxt.isNull(), far).otherwise(F.least(far, nxt)).alias("hi"),
-    )
+    k, d = sql_name(key), sql_name(day)
+    nxt = f"lead({d}) OVER (PARTITION BY {k} ORDER BY {d})"
+    far = f"date_add({d}, {int(width)})"
+    return visits.select(key, day).distinct().selectExpr(
+        k, f"{d} AS lo", f"CASE WHEN {nxt} IS NULL THEN {far} ELSE least({far}, {nxt}) END AS hi")
 
 
 def rolling_distinct(spark: SparkSession, visits: DataFrame, key: str, day: str, start: date, end: date,
                      window_days: int, date_col: str = "date", out: str = "count") -> DataFrame:
     """Distinct keys with a visit in [d - window_days, d] for each d in [start, end]."""
     lo_needed = start - timedelta(days=window_days)
-    v = visits.filter((F.col(day) >= F.lit(lo_needed)) & (F.col(day) <= F.lit(end)))
+    v = visits.filter(f"{sql_name(day)} BETWEEN {sql_lit(lo_needed)} AND {sql_lit(end)}")
     return sweep_count(spark, visit_intervals(v, key, day, window_days + 1), start, end,
                        date_col=date_col, out=out)
