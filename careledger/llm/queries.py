@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, substring, tokenfile
+from . import chat, embeddings, fingerprint, html_text, jaccard, mixing, packing, quality, substring, tokenfile
 
-_MODULES = (substring, mixing, jaccard, packing, tokenfile)
+_MODULES = (substring, html_text, embeddings, chat, fingerprint, mixing, jaccard, packing, tokenfile, quality)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in vars(m).items() if name.startswith("op") and name[2:3].isdigit()}
-ORACLES = {"op7_ngram_jaccard_join": jaccard.oracle_sql()}
+ORACLES = {"op4_chat_formatting": chat.oracle_sql(), "op7_ngram_jaccard_join": jaccard.oracle_sql()}

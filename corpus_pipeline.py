@@ -7,9 +7,14 @@ but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from careledger.llm import common, jaccard, mixing, packing, substring
+from careledger.llm import common, jaccard, mixing, packing, quality, substring
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learnt from the labels beside them, does not reject."""
+    common.workers_import(spark)
+    return quality.accepted(docs, common.read_table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +40,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", good_quality),
     ("jaccard_join", one_of_each_group),
     ("substring_dedup", no_repeated_passages),
     ("mixing", mixed),
