@@ -5,13 +5,14 @@ Only the entries that a size-derived bound leaves are multiplied:
 
 * the columns have one order for all rows (frequent columns last, then by hash), and a
   row of n entries with similarity t needs its first ``n - ceil(t n) + 1`` only;
-* columns are dealt in blocks by hash; a block multiplies its short columns entry by
-  entry, and its long ones first with one row (the smallest id) each;
+* columns are dealt in blocks by hash; a block first multiplies each column's entries
+  with one of them, that of the smallest id;
 * pairs found that way are dropped where the sizes, or the parity sketches of both rows
   (the number of differing bits never exceeds the number of differing shingles), rule
   the threshold out; the overlap of the others is counted on their whole sets;
-* rows so linked need no further product: the long columns are then multiplied, in
-  square blocks, between different components only, under the same bounds.
+* rows so linked need no further product: the columns that still hold several components
+  are then multiplied in square blocks, between different components only, under the
+  same bounds.
 
 No pair at or above the threshold is lost, and no column or row is capped.
 """
@@ -25,24 +26,42 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-#: Columns of more entries are long: one row first, the rest in square blocks.
-LONG = 8
-#: Rows of a square block of a long column.
+#: Rows of a square block of a column.
 SQUARE = 2048
 #: Frequent columns kept for the column order (8 bytes each); which ones are kept changes the cost only.
-FREQUENT_MAX, FREQUENT_AT, WINDOW = 500_000, 24, 1 << 22
+FREQUENT_MAX, FREQUENT_AT, WINDOW = 500_000, 24, 1 << 20
 #: Buckets of document ids whose sets are fetched (a bitmap of 128 KB).
 ID_BUCKETS = 1 << 20
-SKETCH = 16  # words of 64 bits
+#: 64-bit words of the sketch that goes with each entry; a row's own has two bits for each shingle or more.
+SKETCH = 8
+#: Smallest columns of a row that tell a block whether another one has met a pair.
+OWN = 4
 
 
 def _sketch(h: np.ndarray) -> np.ndarray:
-    """Parity of the number of hashes at each of 64 * SKETCH bits."""
-    bit = c.mix(h) >> np.uint64(54)
-    odd = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH) & 1
+    """Parity of the number of hashes at each bit; a power of two of words, halves fold by XOR."""
+    words = max(SKETCH, 1 << (len(h) // 32).bit_length())
+    bit = c.mix(h) & np.uint64(64 * words - 1)
+    odd = np.bincount(bit.astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _folded(sketch):
+    """The first SKETCH words of a sketch of any length, as a column."""
+    return F.expr(f"""transform(sequence(0, {SKETCH - 1}), i -> aggregate(sequence(0, int(size({sketch}) / {SKETCH}) - 1), 0L,
+                      (s, j) -> s ^ {sketch}[j * {SKETCH} + i]))""")
+
+
+def _apart(a, b):
+    """Differing bits of two sketches, the longer folded once if need be (twice as long rules a link out)."""
+
+    def fold(x, y):
+        half = F.floor(F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(x))
+
+    return F.aggregate(F.zip_with(fold(a, b), fold(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+
+
 def _digest(h: np.ndarray) -> int:
     """63-bit id of a set, the same for equal sets."""
     return int(c.mix(h ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64) ^ np.uint64(len(h))) >> 1
@@ -85,16 +104,24 @@ def _describe(k):
 def _entries(k, frequent, num, den):
     """Entries of each row within its bound: (column, row, its size, its document)."""
 
+    def rows_of(col, node, size, doc, per):
+        return pa.record_batch([pa.array(np.concatenate(col).view(np.int64)), pa.array(np.repeat(np.array(node, np.int64), per)),
+                                pa.array(np.repeat(np.array(size, np.int32), per)), pa.array(np.repeat(np.array(doc, np.int64), per))],
+                               names=["col", "node", "n", "id"])
+
     def run(batches):
         often = frequent.value
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             ok = ~np.asarray(b.column(0).is_null())
-            col, node, size, doc, per = [], [], [], [], []
+            col, node, size, doc, per, held = [], [], [], [], [], 0
             for i, h in c.shingle_sets(c.texts_of(b.column(1)), k):
                 n = len(h)
                 if not n or not ok[i]:
                     continue
+                if held > 200_000:
+                    yield rows_of(col, node, size, doc, per)
+                    col, node, size, doc, per, held = [], [], [], [], [], 0
                 if len(often):
                     at = np.searchsorted(often, h)
                     at[at == len(often)] = 0
@@ -105,18 +132,19 @@ def _entries(k, frequent, num, den):
                 p = n - -(-num * n // den) + 1
                 col.append(h2[:p])
                 per.append(p)
+                held += p
                 node.append(_digest(h))
                 size.append(n)
                 doc.append(int(ids[i]))
             if per:
-                yield pa.record_batch([pa.array(np.concatenate(col).view(np.int64)), pa.array(np.repeat(np.array(node, np.int64), per)),
-                                       pa.array(np.repeat(np.array(size, np.int32), per)), pa.array(np.repeat(np.array(doc, np.int64), per))],
-                                      names=["col", "node", "n", "id"])
+                yield rows_of(col, node, size, doc, per)
 
     return run, "col long, node long, n int, id long"
 
 
-def _sets(k, bitmap):
+def _sets(k, bitmap, whole):
+    kind = pa.list_(pa.int64() if whole else pa.int32())
+
     def run(batches):
         need = bitmap.value
         for b in batches:
@@ -126,17 +154,16 @@ def _sets(k, bitmap):
             ok &= need[(c.mix(raw.view(np.uint64)) % np.uint64(ID_BUCKETS)).astype(np.int64)]
             pick = np.flatnonzero(ok)
             texts = c.texts_of(b.column(1).take(pa.array(pick)))
-            got = [(int(raw[pick[i]]), _digest(h), h.view(np.int64)) for i, h in c.shingle_sets(texts, k) if len(h)]
+            got = [(int(raw[pick[i]]), _digest(h), h.view(np.int64) if whole else (h >> np.uint64(32)).astype(np.uint32).view(np.int32)) for i, h in c.shingle_sets(texts, k) if len(h)]
             for at in range(0, len(got), 512):
                 x = got[at : at + 512]
                 yield pa.record_batch([pa.array([r[0] for r in x], pa.int64()), pa.array([r[1] for r in x], pa.int64()),
-                                       pa.array([r[2] for r in x], pa.list_(pa.int64()))], names=["id", "node", "hashes"])
+                                       pa.array([r[2] for r in x], kind)], names=["id", "node", "hashes"])
 
-    return run, "id long, node long, hashes array<long>"
+    return run, "id long, node long, hashes " + ("array<long>" if whole else "array<int>")
 
 
-def _unique_pairs(x, y):
-    lo, hi = np.minimum(x, y), np.maximum(x, y)
+def _unique_pairs(lo, hi):
     o = np.lexsort((hi, lo))
     lo, hi = lo[o], hi[o]
     new = np.ones(len(lo), bool)
@@ -144,7 +171,7 @@ def _unique_pairs(x, y):
     return lo[new], hi[new]
 
 
-def _short_products(num, den):
+def _first_products(num, den):
     schema = pa.schema([("kind", pa.int8()), ("x", pa.int64()), ("y", pa.int64())])
 
     def run(batches):
@@ -158,35 +185,24 @@ def _short_products(num, den):
         new = np.ones(len(col), bool)
         new[1:] = (col[1:] != col[:-1]) | (node[1:] != node[:-1])
         col, node, n, doc = col[new], node[new], n[new], doc[new]
+        o = np.lexsort((doc, col))
+        col, node, n = col[o], node[o], n[o].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1]]))
         length = np.diff(np.append(first, len(col)))
-        a, b = [], []
-        for d in range(2, LONG + 1):
-            f = first[length == d]
-            for i in range(d):
-                for j in range(i + 1, d):
-                    a.append(f + i)
-                    b.append(f + j)
-        long_ = length > LONG
-        if long_.any():
-            f, m = first[long_], length[long_]
-            rows = np.repeat(f, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-            o = np.lexsort((doc[rows], np.repeat(np.arange(len(f)), m)))
-            hub = np.repeat(rows[o][np.cumsum(m) - m], m)
-            a.append(hub[hub != rows])
-            b.append(rows[hub != rows])
-            yield pa.record_batch([pa.array(np.ones(len(rows), np.int8)), pa.array(col[rows]), pa.array(node[rows])], schema=schema)
-        if a:
-            a, b = np.concatenate(a), np.concatenate(b)
-            ok = den * np.minimum(n[a], n[b]).astype(np.int64) >= num * np.maximum(n[a], n[b]).astype(np.int64)
-            x, y = _unique_pairs(node[a[ok]], node[b[ok]])
-            yield pa.record_batch([pa.array(np.zeros(len(x), np.int8)), pa.array(x), pa.array(y)], schema=schema)
+        hub = np.repeat(first, length)
+        shared = np.repeat(length > 1, length)
+        yield pa.record_batch([pa.array(np.ones(shared.sum(), np.int8)), pa.array(col[shared]), pa.array(node[shared])], schema=schema)
+        b = np.flatnonzero(hub != np.arange(len(col)))
+        a = hub[b]
+        ok = den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])
+        x, y = _unique_pairs(node[b[ok]], node[a[ok]])
+        yield pa.record_batch([pa.array(np.zeros(len(x), np.int8)), pa.array(x), pa.array(y)], schema=schema)
 
     return run, "kind tinyint, x long, y long"
 
 
-def _long_products(num, den):
-    """Square blocks of long columns: pairs of different components that the bounds leave."""
+def _square_products(num, den):
+    """Square blocks of columns: pairs of different components that the bounds leave."""
 
     def run(batches):
         got = [b for b in batches if b.num_rows]
@@ -198,6 +214,7 @@ def _long_products(num, den):
         key = key[:, o]
         node, comp, n, side = (t.column(i).to_numpy()[o] for i in (3, 4, 5, 6))
         sk = t.column(7).combine_chunks().flatten().to_numpy().reshape(-1, SKETCH)[o].view(np.uint64)
+        own = t.column(8).combine_chunks().flatten().to_numpy().reshape(-1, OWN)[o]
         first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
         out = []
         for f, e in zip(first, np.append(first[1:], len(node)), strict=True):
@@ -215,17 +232,26 @@ def _long_products(num, den):
                     s = n[r].astype(np.int64) + int(n[i])
                     apart = np.bitwise_count(sk[r] ^ sk[i]).sum(1, dtype=np.int64)
                     r = r[apart * (den + num) <= (den - num) * s]
+                    # both are in a smaller column too, whose block has the pair
+                    mine = own[i][own[i] < key[0, i]]
+                    if len(mine) and len(r):
+                        r = r[~np.isin(own[r], mine).any(1)]
                     if len(r):
                         out.append((np.full(len(r), node[i]), node[r]))
         if out:
-            x, y = _unique_pairs(np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out]))
+            x, y = np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
+            x, y = _unique_pairs(np.maximum(x, y), np.minimum(x, y))
             yield pa.record_batch([pa.array(x), pa.array(y)], names=["x", "y"])
 
     return run, "x long, y long"
 
 
-def _verified(rows, pairs, classes, k, num, den):
-    """Pairs whose whole sets reach the threshold: one row (x, y) each."""
+def _verified(rows, pairs, classes, k, num, den, whole):
+    """Pairs (x, y, linked) whose sets reach the threshold.
+
+    With ``whole`` on 64-bit sets, all linked. Otherwise on the leading 32 bits, which is half to move: pairs so
+    near the threshold that a few equal leading bits could decide have linked = false and are left to a second call.
+    """
     spark = rows.sparkSession
     need = pairs.select("x").union(pairs.select("y")).distinct()
     reps = c.stored(need.join(classes.select(F.col("node").alias("x"), "id"), "x"), "reps")
@@ -239,15 +265,17 @@ def _verified(rows, pairs, classes, k, num, den):
     bits = np.zeros(ID_BUCKETS, bool)
     got = reps.select(bucket("id").alias("b")).distinct().toArrow().column(0).to_numpy()  # ID_BUCKETS rows at most
     bits[got] = True
-    fn, schema = _sets(k, spark.sparkContext.broadcast(bits))
+    fn, schema = _sets(k, spark.sparkContext.broadcast(bits), whole)
     sets = rows.mapInArrow(fn, schema).join(reps.select(F.col("x").alias("node"), "id"), ["node", "id"])
     sets = c.stored(sets.dropDuplicates(["node"]).select("node", "hashes"), "sets")
-    left = sets.select(F.col("node").alias("x"), F.col("hashes").alias("hx"))
-    right = sets.select(F.col("node").alias("y"), F.col("hashes").alias("hy"))
-    both = pairs.select("x", "y").join(left, "x").join(right, "y")
-    over = F.size(F.array_intersect("hx", "hy"))
-    both = both.where(den * over >= num * (F.size("hx") + F.size("hy") - over))
-    out = c.stored(both.select("x", "y"), "links")
+    sizes = classes.select("node", "n")
+    left = sets.join(sizes, "node").select(F.col("node").alias("x"), F.col("hashes").alias("hx"), F.col("n").alias("nx"))
+    right = sets.join(pairs.select(F.col("y").alias("node")).distinct(), "node").join(sizes, "node")
+    right = right.select(F.col("node").alias("y"), F.col("hashes").alias("hy"), F.col("n").alias("ny"))
+    both = pairs.select("x", "y").join(left, "x").join(right, "y").withColumn("over", F.size(F.array_intersect("hx", "hy")))
+    doubt = F.lit(0) if whole else 3 + F.ceil(F.col("nx").cast("double") * F.col("ny") * 10 / 2.0**32).cast("int")
+    reach = lambda over: (den + num) * over >= num * (F.col("nx") + F.col("ny"))
+    out = c.stored(both.where(reach(F.col("over") + doubt)).select("x", "y", reach(F.col("over") - doubt).alias("linked")), "links")
     c.drop_stored(sets)
     return out
 
@@ -274,36 +302,46 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
              .orderBy(F.desc("m"), "node").limit(FREQUENT_MAX).select("node").toArrow().column(0).to_numpy())
     frequent = spark.sparkContext.broadcast(np.sort(often.astype(np.int64).view(np.uint64)))
     fn, schema = _entries(k, frequent, num, den)
-    blocks = rows.mapInArrow(fn, schema).repartition(c.partitions_for(spark, total, 300_000), "col")
-    fn, schema = _short_products(num, den)
+    blocks = rows.mapInArrow(fn, schema).repartition(c.partitions_for(spark, total, 200_000), "col")
+    fn, schema = _first_products(num, den)
     product = c.stored(blocks.mapInArrow(fn, schema), "product")
 
     side = classes.select("node", "n", "sketch")
-    first = product.where("kind = 0").select("x", "y").distinct()
-    first = first.join(side.toDF("x", "nx", "sx"), "x").join(side.toDF("y", "ny", "sy"), "y")
-    apart = F.aggregate(F.zip_with("sx", "sy", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
-    first = c.stored(first.where(apart * (den + num) <= (den - num) * (F.col("nx") + F.col("ny"))).select("x", "y"), "pairs")
-    links = _verified(rows, first, classes, k, num, den)
-
-    long_ = product.where("kind = 1").select(F.col("x").alias("col"), F.col("y").alias("node"))
-    if not long_.isEmpty():
-        joined = c.components(links, "x", "y")
-        sizes = long_.groupBy("col").agg(F.count("*").alias("d"))
-        tall = long_.join(sizes, "col").join(side, "node").join(joined, "node", "left")
-        tall = tall.withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
-        own = F.pmod(F.xxhash64("node"), F.col("squares")).cast("int")
-        spots = F.transform(F.sequence(F.lit(0), F.col("squares") - 1), lambda o: F.struct(
-            F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"), F.when(F.col("own") <= o, 0).otherwise(1).alias("side")))
-        tall = tall.withColumn("own", own).withColumn("at", F.explode(spots))
-        tall = tall.select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", F.coalesce("component", "node").alias("component"),
-                           "n", F.col("at.side").alias("side"), "sketch")
-        rows_each = product.where("kind = 1").count()
-        tall = tall.repartition(c.partitions_for(spark, rows_each, 100_000), "col", "i", "j")
-        fn, schema = _long_products(num, den)
-        rest = tall.mapInArrow(fn, schema).distinct().join(first, ["x", "y"], "left_anti")
-        rest = c.stored(rest, "pairs")
-        if not rest.isEmpty():
-            links = links.union(_verified(rows, rest, classes, k, num, den))
+
+    def near(pairs):
+        """Pairs that the sizes and the rows' own sketches leave."""
+        pairs = pairs.join(side.toDF("x", "nx", "sx"), "x").join(side.toDF("y", "ny", "sy"), "y")
+        pairs = pairs.where(den * F.least("nx", "ny") >= num * F.greatest("nx", "ny"))
+        return c.stored(pairs.where(_apart("sx", "sy") * (den + num) <= (den - num) * (F.col("nx") + F.col("ny"))).select("x", "y"), "pairs")
+
+    first = near(product.where("kind = 0").select("x", "y").distinct())
+    found = _verified(rows, first, classes, k, num, den, False)
+    links = found.where("linked").select("x", "y")
+
+    joined = c.components(links, "x", "y")
+    lists = product.where("kind = 1").select(F.col("x").alias("col"), F.col("y").alias("node"))
+    lists = lists.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = lists.groupBy("col").agg(F.count("*").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    lists = c.stored(lists.join(sizes.where("lo < hi").select("col", "d"), "col"), "lists")
+    own = lists.groupBy("node").agg(F.sort_array(F.collect_set("col")).alias("cols"))
+    own = own.select("node", F.transform(F.sequence(F.lit(0), F.lit(OWN - 1)), lambda i: F.coalesce(F.get("cols", i), F.lit((1 << 63) - 1))).alias("own_cols"))
+    rows_at = classes.select("node", "n", _folded("sketch").alias("sketch")).join(own, "node")
+    lists = lists.join(rows_at, "node").withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
+    lists = lists.withColumn("own", F.pmod(F.xxhash64("node"), F.col("squares")).cast("int"))
+    spots = F.transform(F.sequence(F.lit(0), F.col("squares") - 1), lambda o: F.struct(
+        F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"), F.when(F.col("own") <= o, 0).otherwise(1).alias("side")))
+    lists = lists.withColumn("at", F.explode(spots)).select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "component",
+                                                            "n", F.col("at.side").alias("side"), "sketch", "own_cols")
+    lists = lists.repartition(c.partitions_for(spark, total // 20, 100_000), "col", "i", "j")
+    fn, schema = _square_products(num, den)
+    known = first.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+    rest = near(lists.mapInArrow(fn, schema).distinct().join(known, ["x", "y"], "left_anti"))
+    if not rest.isEmpty():
+        found = found.union(_verified(rows, rest, classes, k, num, den, False))
+        links = found.where("linked").select("x", "y")
+    close = c.stored(found.where("not linked").select("x", "y"), "close")
+    if not close.isEmpty():
+        links = links.union(_verified(rows, close, classes, k, num, den, True).select("x", "y"))
 
     comp = c.components(links, "x", "y")
     named = classes.select("node", F.col("id").alias("rep")).join(comp, "node", "left")
