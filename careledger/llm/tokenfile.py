@@ -201,7 +201,7 @@ def write_tokens(docs: DataFrame, root: str, path: str | None = None, end_id: in
     rows = c.columns_of(docs, {"doc_id": "long", "text": "string"})
     bounds = c.range_bounds(rows, "doc_id", rows_each)
     rows = rows.select(c.range_of(F.col("doc_id"), bounds).cast("int").alias("part"), "doc_id", "text")
-    rows = rows.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "text")
+    rows = rows.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "doc_id", "text")
     fn, schema = _write(path, end_id, width, root)
     return c.stored(rows.mapInArrow(fn, schema), "files")
 
