@@ -179,7 +179,7 @@ def fingerprints(docs: DataFrame, rows_each: int = 4000) -> DataFrame:
     guards = rows.join(least.withColumnRenamed("part", "p"), (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("id")))
     guards = guards.groupBy("to", "doc_id").agg(F.min("text").alias("text")).select(F.col("to").alias("part"), F.lit(True).alias("guard"), "doc_id", "text")
     both = rows.select("part", F.lit(False).alias("guard"), "doc_id", "text").union(guards)
-    both = both.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "guard", "doc_id", "text")
+    both = both.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "guard", "doc_id", "text")
     fn, schema = _compare(rank)
     return both.mapInArrow(fn, schema)
 
