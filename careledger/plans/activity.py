@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as cfg
 from ..functions.exprs import agent_name_case, call_bucket
 from ..functions.params import month_start, period_bounds
-from ..sources.tables import Sources, calls, customers, follow_ups
+from ..sources.tables import at_day, calls, customers, follow_ups, Sources
 
 BUCKET_COLUMNS = {"answered": "Answered", "missed": "Missed", "busy": "Busy", "failed": "Failed",
                   "cancelled": "Cancelled", "unavailable": "Unavailable"}
@@ -37,6 +37,7 @@ def combined_activity(src: Sources) -> DataFrame:
     return c.unionByName(f)
 
 
+@at_day
 def agent_activity(src: Sources, as_of: date, period: str = "Today") -> DataFrame:
     """Q35: follow-ups and call outcomes per agent in a named period."""
     lo, hi = period_bounds(period, as_of)
@@ -60,6 +61,7 @@ def _mtd_follow_ups(src: Sources, as_of: date) -> DataFrame:
     return follow_ups(src, configured_only=True).filter((F.col("creation") >= lo) & (F.col("creation") < hi))
 
 
+@at_day
 def followups_mtd_by_agent(src: Sources, as_of: date) -> DataFrame:
     """Q36: month-to-date follow-ups per configured agent (agents with none are
     dropped by the inner join), in config order."""
@@ -70,6 +72,7 @@ def followups_mtd_by_agent(src: Sources, as_of: date) -> DataFrame:
     )
 
 
+@at_day
 def followups_mtd_total(src: Sources, as_of: date) -> DataFrame:
     """Q37."""
     return _mtd_follow_ups(src, as_of).agg(F.count(F.lit(1)).alias("Count"))
@@ -81,11 +84,13 @@ def _day_follow_ups(src: Sources, day: date) -> DataFrame:
     return follow_ups(src, configured_only=True).filter((F.col("creation") >= lo) & (F.col("creation") < hi))
 
 
+@at_day
 def followups_done_on_day(src: Sources, as_of: date, followup_day: date | None = None) -> DataFrame:
     """Q38: follow-ups logged on the chosen day (default as_of)."""
     return _day_follow_ups(src, followup_day or as_of).agg(F.count(F.lit(1)).alias("Count"))
 
 
+@at_day
 def followups_avg_daily(src: Sources, as_of: date) -> DataFrame:
     """Q39: month-to-date follow-ups per day (today included), one decimal."""
     days = float(max((as_of - month_start(as_of)).days + 1, 1))
@@ -93,6 +98,7 @@ def followups_avg_daily(src: Sources, as_of: date) -> DataFrame:
         F.round(F.count(F.lit(1)).cast("double") / F.lit(days), 1).alias("Count"))
 
 
+@at_day
 def followups_on_day_log(src: Sources, as_of: date, followup_day: date | None = None) -> DataFrame:
     """Q40: the day's follow-ups, newest first."""
     fu = _day_follow_ups(src, followup_day or as_of)

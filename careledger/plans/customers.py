@@ -18,7 +18,7 @@ from .. import config as cfg
 from ..functions.exprs import pct
 from ..functions.params import add_months, channel_pred, month_start, relative_range, where
 from ..operators.shaping import pivot_fixed
-from ..sources.tables import Sources, customers, invoices
+from ..sources.tables import at_day, customers, invoices, Sources
 
 
 def paid_invoices(src: Sources, channel: str = "Both") -> DataFrame:
@@ -43,6 +43,7 @@ def first_visit(src: Sources, channel: str = "Both") -> DataFrame:
     )
 
 
+@at_day
 def monthly_new_customers(src: Sources, as_of: date, channel: str = "Both",
                           date_filter: str | None = "past12months~") -> DataFrame:
     """Q17: new customers per month and the all-time running total; the date
@@ -58,6 +59,7 @@ def monthly_new_customers(src: Sources, as_of: date, channel: str = "Both",
     return out.orderBy("Month")
 
 
+@at_day
 def returning_customers_mtd(src: Sources, as_of: date, channel: str = "Both") -> DataFrame:
     """Q18: customers first seen before this month who bought this month."""
     ms = month_start(as_of)
@@ -68,6 +70,7 @@ def returning_customers_mtd(src: Sources, as_of: date, channel: str = "Both") ->
         F.count(F.when((F.col("first_visit") < F.lit(ms)) & (F.col("bought_mtd") == 1), F.lit(1))).alias("Count"))
 
 
+@at_day
 def customer_month_facts(src: Sources, as_of: date, channel: str = "Both") -> DataFrame:
     """Paid invoices per (customer, month): all invoices, invoices on complete
     days (C15) and the first day. One partial aggregation over the invoices;
@@ -79,73 +82,53 @@ def customer_month_facts(src: Sources, as_of: date, channel: str = "Both") -> Da
     )
 
 
-def first_visit_of(facts: DataFrame) -> DataFrame:
-    """V3 from the (customer, month) facts (a far smaller input than invoices)."""
-    return facts.groupBy("customer").agg(F.min("first_day").alias("first_visit")) \
-        .withColumn("cohort_month", F.trunc("first_visit", "MM"))
-
-
-def monthly_invoices(facts: DataFrame) -> DataFrame:
-    """V4: invoices per (customer, month) with the current-month cut-off.
-    Invoice ids are the primary key, so the distinct count is a row count."""
-    return facts.filter(F.col("n_complete") > 0).select("customer", "month",
-                                                        F.col("n_complete").alias("invoice_count"))
-
-
+@at_day
 def monthly_retention_trend(src: Sources, as_of: date, channel: str = "Both") -> DataFrame:
-    """Q19: per month total, returning, new and multi-visit customers with shares."""
-    facts = customer_month_facts(src, as_of, channel)
-    fv = first_visit_of(facts)
-    mi = monthly_invoices(facts).join(fv.select("customer", "first_visit"), "customer")
-    by_month = mi.groupBy("month").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count(F.when(F.col("first_visit") < F.col("month"), F.lit(1))).alias("returning"),
-        F.count(F.when(F.col("invoice_count") >= 2, F.lit(1))).alias("multi"),
-    )
-    new = fv.filter(complete_days(as_of, "first_visit")).groupBy(F.col("cohort_month").alias("month")) \
-        .agg(F.count(F.lit(1)).alias("new"))
-    months = by_month.select("month").unionByName(fv.select(F.col("cohort_month").alias("month"))).distinct()
-    t = F.coalesce(F.col("total"), F.lit(0))
-    r = F.coalesce(F.col("returning"), F.lit(0))
-    n = F.coalesce(F.col("new"), F.lit(0))
-    m = F.coalesce(F.col("multi"), F.lit(0))
-    # All three frames hold one row per month.
-    return (
-        months.join(by_month, "month", "left").join(new, "month", "left")
-        .select(F.col("month").alias("Month"), t.alias("Total Customers"), r.alias("Returning Customers"),
-                n.alias("New Customers"), m.alias("Multi-visit Customers"),
-                pct(r, t).alias("Returning %"), pct(n, t).alias("New %"), pct(m, t).alias("Multi-visit %"))
-        .orderBy("Month")
-    )
+    """Q19: per month total, returning, new and multi-visit customers with shares.
+
+    One scan: the first visit is a window over a customer's own months, and the
+    month of the first visit is where the customer is new.
+    """
+    own = Window.partitionBy("customer")
+    facts = customer_month_facts(src, as_of, channel).withColumn("first_visit", F.min("first_day").over(own))
+    active, first = F.col("n_complete") > 0, F.col("first_day") == F.col("first_visit")
 
+    def share(condition):
+        return F.count(F.when(condition, F.lit(1)))
 
-def customer_months(facts: DataFrame, fv: DataFrame) -> DataFrame:
-    """V5: distinct (customer, cohort, activity month, months since first visit)."""
-    return monthly_invoices(facts).join(fv.select("customer", "cohort_month"), "customer").select(
-        "customer", "cohort_month", F.col("month").alias("activity_month"),
-        (month_index(F.col("month")) - month_index(F.col("cohort_month"))).alias("months_since"),
-    ).filter(F.col("months_since") >= 0)
+    by_month = facts.filter(active | first).groupBy("month").agg(
+        share(active).alias("t"), share(active & (F.col("first_visit") < F.col("month"))).alias("r"),
+        share(active & (F.col("n_complete") >= 2)).alias("m"), share(first & complete_days(as_of, "first_visit")).alias("n"))
+    t, r, n, m = (F.col(x) for x in "trnm")
+    return by_month.select(
+        F.col("month").alias("Month"), t.alias("Total Customers"), r.alias("Returning Customers"), n.alias("New Customers"),
+        m.alias("Multi-visit Customers"), pct(r, t).alias("Returning %"), pct(n, t).alias("New %"), pct(m, t).alias("Multi-visit %")
+    ).orderBy("Month")
 
 
+@at_day
 def cohort_retention(src: Sources, as_of: date, channel: str = "Both",
                      max_months: int = cfg.MAX_COHORT_MONTHS) -> DataFrame:
     """Q20: cohort × months-since matrix of retention %. Elapsed cells without
     customers are 0.0, cells in the future are NULL, offsets > max_months drop."""
-    facts = customer_month_facts(src, as_of, channel)
-    fv = first_visit_of(facts)
-    sizes = fv.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    retained = customer_months(facts, fv).filter(F.col("months_since") <= max_months) \
-        .groupBy("cohort_month", "months_since").agg(F.count(F.lit(1)).alias("retained"))
+    own = Window.partitionBy("customer")
+    facts = customer_month_facts(src, as_of, channel).withColumn("first_visit", F.min("first_day").over(own))
+    # A customer's first row is its cohort's offset 0, so one aggregate holds sizes and retained customers.
+    cells = facts.withColumn("cohort_month", F.trunc("first_visit", "MM")).groupBy(
+        "cohort_month", (month_index(F.col("month")) - month_index(F.col("cohort_month"))).alias("months_since")
+    ).agg(F.count(F.when(F.col("n_complete") > 0, F.lit(1))).alias("retained"),
+          F.count(F.when(F.col("first_day") == F.col("first_visit"), F.lit(1))).alias("size"))
+    cohorts = cells.groupBy("cohort_month").agg(
+        F.sum("size").alias("cohort_size"), F.map_from_entries(F.collect_list(F.struct("months_since", "retained"))).alias("by_offset"))
     elapsed = month_index(F.lit(month_start(as_of))) - month_index(F.col("cohort_month"))
     # One row per cohort (a month) and elapsed offset 0..min(elapsed, 36):
     # bounded by the calendar, not the data.
-    grid = sizes.filter(elapsed >= 0).select(
-        "cohort_month", "cohort_size",
+    grid = cohorts.filter(elapsed >= 0).select(
+        "cohort_month", "cohort_size", "by_offset",
         F.explode(F.sequence(F.lit(0), F.least(elapsed, F.lit(max_months)))).alias("months_since"))
-    cells = grid.join(retained, ["cohort_month", "months_since"], "left").select(
-        "cohort_month", "months_since",
-        F.round(F.lit(100.0) * F.coalesce(F.col("retained"), F.lit(0)).cast("double")
-                / F.col("cohort_size").cast("double"), 1).alias("pct"))
+    retained = F.coalesce(F.element_at("by_offset", F.col("months_since")), F.lit(0))
+    cells = grid.select("cohort_month", "months_since", F.round(
+        F.lit(100.0) * retained.cast("double") / F.col("cohort_size").cast("double"), 1).alias("pct"))
     wide = pivot_fixed(cells, ["cohort_month"], "months_since", list(range(max_months + 1)), F.col("pct"))
     return wide.withColumnRenamed("cohort_month", "Cohort").orderBy("Cohort")
 
@@ -155,6 +138,7 @@ def _with_names(per_customer: DataFrame, src: Sources) -> DataFrame:
     return per_customer.join(customers(src), per_customer.customer == F.col("name")).drop("name")
 
 
+@at_day
 def cohort_cell_customers(src: Sources, as_of: date, channel: str = "Both", cohort_month: date | None = None,
                           months_since: int | None = None) -> DataFrame:
     """Q21: customers of one cohort cell with their invoices in that month.
@@ -193,6 +177,7 @@ def cohort_cell_customers(src: Sources, as_of: date, channel: str = "Both", coho
     )
 
 
+@at_day
 def cohort_roster(src: Sources, as_of: date, cohort_month: date, channel: str = "Both") -> DataFrame:
     """Q22: lifetime stats of every customer of one cohort, from one
     aggregation per customer over paid invoices."""
@@ -212,6 +197,7 @@ def cohort_roster(src: Sources, as_of: date, cohort_month: date, channel: str =
     )
 
 
+@at_day
 def cohort_drill(src: Sources, as_of: date, cohort: date, months_since: int | None = None,
                  channel: str = "Both") -> DataFrame:
     """Drill-through from the cohort matrix (Q20). A cell (cohort row,

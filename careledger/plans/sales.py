@@ -22,7 +22,7 @@ from ..operators.allocation import GROSS, allocated_part, invoice_categories, in
 from ..operators.shaping import fill_spine, pivot_fixed
 from ..operators.sweep import rolling_distinct
 from ..sources.calendar import spine, spine_grid, spine_numbered
-from ..sources.tables import Sources, invoices, items
+from ..sources.tables import at_day, invoices, items, Sources
 
 
 def _spark(src: Sources) -> SparkSession:
@@ -51,6 +51,7 @@ def _channel_daily(src: Sources, start_date: date | None, end_date: date | None)
     return inv.withColumn("channel", channel2(store_label=cfg.STORE_LABEL_LONG))
 
 
+@at_day
 def channel_sales_table(src: Sources, as_of: date, start_date: date | None = None,
                         end_date: date | None = None) -> DataFrame:
     """Q01: gross, net and tax per day and channel."""
@@ -65,6 +66,7 @@ def channel_sales_table(src: Sources, as_of: date, start_date: date | None = Non
     )
 
 
+@at_day
 def channel_sales_wide(src: Sources, as_of: date, start_date: date | None = None,
                        end_date: date | None = None) -> DataFrame:
     """Q02: store (named profile), truck (blank profile only) and total per day."""
@@ -81,6 +83,7 @@ def channel_sales_wide(src: Sources, as_of: date, start_date: date | None = None
     )
 
 
+@at_day
 def channel_sales_stacked(src: Sources, as_of: date, start_date: date | None = None,
                           end_date: date | None = None) -> DataFrame:
     """Q03: gross per day and channel, ascending."""
@@ -94,6 +97,7 @@ def channel_sales_stacked(src: Sources, as_of: date, start_date: date | None = N
 
 
 # ---------------------------------------------------------------- Q04
+@at_day
 def daily_sales_by_channel(src: Sources, as_of: date, date_filter: str | None = "past3months~") -> DataFrame:
     """Q04: 401-day spine × 2 channels, zero-filled, then the date filter."""
     start, end = as_of - timedelta(days=400), as_of
@@ -134,6 +138,7 @@ def _past7_segment_sums(src: Sources, as_of: date) -> DataFrame:
     )
 
 
+@at_day
 def past7_daily_sales(src: Sources, as_of: date) -> DataFrame:
     """Q05: last 7 complete days × 4 segments, tax-allocated gross, zero-filled."""
     spark = _spark(src)
@@ -152,6 +157,7 @@ def past7_daily_sales(src: Sources, as_of: date) -> DataFrame:
 DETAIL_COLUMNS = ["Store · Grooming", "Store · Product", "Truck · Grooming", "Truck · Product"]
 
 
+@at_day
 def past7_daily_sales_detail(src: Sources, as_of: date) -> DataFrame:
     """Q06: the same days as a table; amounts rounded before the pivot."""
     spark = _spark(src)
@@ -172,6 +178,7 @@ def past7_daily_sales_detail(src: Sources, as_of: date) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q07-Q11
+@at_day
 def mtd_revenue(src: Sources, as_of: date) -> DataFrame:
     """Q07: Σ tax-allocated lines month to date (today excluded), ₹-formatted."""
     cats = invoice_categories(src, month_start(as_of), as_of, invoice_cols=())
@@ -185,12 +192,14 @@ def _invoice_smart_qty(src: Sources, inv: DataFrame, keys: list[str]) -> DataFra
         .filter(F.col("smart_qty") > 0)
 
 
+@at_day
 def mtd_groomings(src: Sources, as_of: date) -> DataFrame:
     """Q08: Σ smart grooming quantity month to date."""
     per_invoice = _invoice_smart_qty(src, _mtd_invoices(src, as_of), ["name"])
     return per_invoice.agg(F.round(F.coalesce(F.sum("smart_qty"), F.lit(0)), 0).cast("bigint").alias("Count"))
 
 
+@at_day
 def avg_daily_revenue(src: Sources, as_of: date) -> DataFrame:
     """Q09: Σ grand total month to date / complete days, ₹."""
     d = days_elapsed(as_of)
@@ -201,6 +210,7 @@ def avg_daily_revenue(src: Sources, as_of: date) -> DataFrame:
 CATEGORY_ORDER = [cfg.CATEGORY_GROOMING, cfg.CATEGORY_PRODUCT, "Total"]
 
 
+@at_day
 def mtd_revenue_by_channel_category(src: Sources, as_of: date) -> DataFrame:
     """Q10: category × Store/Truck/Total, plus a total row over the rounded cells."""
     cats = invoice_categories(src, month_start(as_of), as_of)
@@ -222,6 +232,7 @@ def mtd_revenue_by_channel_category(src: Sources, as_of: date) -> DataFrame:
     ).orderBy("_ord").drop("_ord")
 
 
+@at_day
 def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) -> DataFrame:
     """Q11: five grooming metrics × Store/Truck/Total for the month to date.
 
@@ -294,6 +305,7 @@ def _mtd_avg_daily(src: Sources, as_of: date) -> DataFrame:
         (F.sum("base_grand_total").cast("double") / F.lit(d)).alias("avg_daily"))
 
 
+@at_day
 def mtd_vs_projection(src: Sources, as_of: date) -> DataFrame:
     """Q12: running actual (lakh, NULL from today on) vs projected pace."""
     spark = _spark(src)
@@ -318,6 +330,7 @@ def mtd_vs_projection(src: Sources, as_of: date) -> DataFrame:
     )
 
 
+@at_day
 def projected_month_end_sales(src: Sources, as_of: date) -> DataFrame:
     """Q13: average daily sales × days in the month, ₹."""
     dim = float(last_day(as_of).day)
@@ -344,6 +357,7 @@ def _monthly_grooming_revenue(per_invoice: DataFrame) -> DataFrame:
         .filter(F.col("grooming_revenue") > 0)
 
 
+@at_day
 def avg_daily_grooming_revenue(src: Sources, as_of: date) -> DataFrame:
     """Q14: grooming revenue per month and channel / days counted."""
     rev = _monthly_grooming_revenue(_monthly_grooming_invoices(src, as_of))
@@ -355,6 +369,7 @@ def avg_daily_grooming_revenue(src: Sources, as_of: date) -> DataFrame:
     ).orderBy("month", "channel")
 
 
+@at_day
 def avg_daily_revenue_per_grooming(src: Sources, as_of: date) -> DataFrame:
     """Q15: monthly grooming revenue and groomings, both per day, divided.
 
@@ -377,6 +392,7 @@ def avg_daily_revenue_per_grooming(src: Sources, as_of: date) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q16
+@at_day
 def rolling_30d(src: Sources, as_of: date, channel: str = "Both",
                 date_filter: str | None = "past12months~") -> DataFrame:
     """Q16: active customers and groomings over the inclusive window [d-30, d]

@@ -35,8 +35,8 @@ def build_session(master: str | None = None, app: str = "careledger", shuffle_pa
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a scratch folder is created and set.
+    Read from ``spark.checkpoint.dir``; only a local master without it (tests)
+    gets a scratch folder, any other is an error.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None)
@@ -47,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="careledger-ckpt-")
     sc.setCheckpointDir(path)
     return path

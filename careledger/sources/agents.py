@@ -26,36 +26,28 @@ AGENT_SCHEMA = T.StructType([
 ])
 
 
-def agents_path(path: str | os.PathLike | None = None) -> Path:
-    """Explicit path, else $CARELEDGER_AGENTS_FILE, else the bundled example."""
-    for candidate in (path, os.environ.get(AGENTS_ENV)):
-        if candidate and Path(candidate).exists():
-            return Path(candidate)
-    if not EXAMPLE_FILE.exists():
-        raise FileNotFoundError(f"Agent config missing: {EXAMPLE_FILE}")
-    return EXAMPLE_FILE
-
-
 def load_agents(path: str | os.PathLike | None = None) -> list[dict]:
-    """Agents in config order; error when the file is absent or lists none."""
-    p = agents_path(path)
-    with p.open(encoding="utf-8") as f:
-        agents = json.load(f).get("agents", [])
-    if not agents:
-        raise ValueError(f"No agents defined in {p}")
-    return [
-        {"ordinal": i + 1, "name": a["name"], "email": a["email"], "phone": a.get("phone") or None}
-        for i, a in enumerate(agents)
-    ]
+    """Agents of the given file, else of $CARELEDGER_AGENTS_FILE, else of the bundled example, in file order.
+
+    A file that was named but is not there, or has no usable agent, is an error: a silent fallback would
+    filter the real agents' rows away.
+    """
+    named = path or os.environ.get(AGENTS_ENV) or EXAMPLE_FILE
+    entries = json.loads(Path(named).read_text(encoding="utf-8")).get("agents") or []
+    lacking = [e for e in entries if not (e.get("name") and e.get("email"))]
+    if lacking or not entries:
+        raise ValueError(f"{named}: " + (f"agents without name or email: {lacking}" if lacking else "no agents"))
+    return [dict(ordinal=n, name=e["name"], email=e["email"], phone=e.get("phone") or None) for n, e in enumerate(entries, 1)]
 
 
-def agents_frame(spark: SparkSession, path: str | os.PathLike | None = None) -> DataFrame:
-    rows = [(a["ordinal"], a["name"], a["email"], a["phone"]) for a in load_agents(path)]
-    return spark.createDataFrame(rows, AGENT_SCHEMA)
+def agents_frame(spark: SparkSession, agents: list[dict] | None = None) -> DataFrame:
+    keys = AGENT_SCHEMA.fieldNames()
+    return spark.createDataFrame([tuple(a[k] for k in keys) for a in (load_agents() if agents is None else agents)], AGENT_SCHEMA)
 
 
-def agent_names(agents: list[dict]) -> list[str]:
-    return [a["name"] for a in agents]
+def agents_of(frame: DataFrame) -> list[dict]:
+    """The list behind an agents frame (configuration: a handful of rows)."""
+    return [r.asDict() for r in frame.select(*AGENT_SCHEMA.fieldNames()).orderBy("ordinal").collect()]
 
 
 def agent_emails(agents: list[dict]) -> list[str]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_AS_OF
-from .agents import agents_frame
+from .agents import agents_frame, load_agents
 from .tables import Sources
 
 # --- Fixed values of the fixture mapping (FIXTURES.md §2) ---
@@ -172,4 +172,5 @@ def load_fixture(spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF)
         customer_follow_up=customer_follow_up(spark, sf_dir, as_of),
         call_log=call_log(spark, sf_dir, as_of),
         agents=agents_frame(spark),
+        agent_list=load_agents(),
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .agents import agent_emails, agent_phones, load_agents
+from .agents import agent_emails, agent_phones, agents_frame, agents_of, load_agents
 
 TABLES = ("sales_invoice", "sales_invoice_item", "customer", "customer_follow_up", "call_log")
 
@@ -26,16 +28,35 @@ class Sources:
     customer_follow_up: DataFrame
     call_log: DataFrame
     agents: DataFrame
-    agent_list: list[dict] = field(default_factory=load_agents)
+    agent_list: list[dict]
+    as_of: date | None = None  # the accessors below hide what is dated later
+
+    def at(self, as_of: date) -> Sources:
+        return self if self.as_of is not None and self.as_of <= as_of else replace(self, as_of=as_of)
+
+
+def at_day(query):
+    """A query (src, as_of, ...) that sees no row dated after ``as_of``."""
+
+    @wraps(query)
+    def run(src: Sources, as_of: date, *args, **params):
+        return query(src.at(as_of), as_of, *args, **params)
+
+    return run
+
+
+def _agents(spark, agents: DataFrame | None, agent_list: list[dict] | None) -> dict:
+    """Frame and list of the same agents, whichever is given; the configured file if neither is."""
+    if agents is None:
+        agent_list = agent_list or load_agents()
+        return {"agents": agents_frame(spark, agent_list), "agent_list": agent_list}
+    return {"agents": agents, "agent_list": agent_list or agents_of(agents)}
 
 
 def read_tables(spark, root: str, agents: DataFrame | None = None, agent_list: list[dict] | None = None) -> Sources:
     """Retail tables stored as ``<root>/<table>`` parquet datasets."""
-    from .agents import agents_frame
-
     frames = {t: spark.read.parquet(f"{root}/{t}") for t in TABLES}
-    return Sources(**frames, agents=agents if agents is not None else agents_frame(spark),
-                   agent_list=agent_list or load_agents())
+    return Sources(**frames, **_agents(spark, agents, agent_list))
 
 
 def write_tables(src: Sources, root: str) -> None:
@@ -64,14 +85,16 @@ def write_bucketed(spark, src: Sources, root: str, buckets: int, database: str =
     Invoices are bucketed by invoice id and items by parent with the same
     bucket count, so the fact-to-fact join and the per-invoice aggregates read
     co-partitioned files and shuffle neither side. Follow-ups and customers are
-    bucketed by customer id for the per-customer aggregates. Within a bucket,
-    invoices are sorted by posting date so date filters skip row groups.
+    bucketed by customer id for the per-customer aggregates. Each bucket is
+    written by one task as one file, sorted by the join key.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    sort_keys = {"sales_invoice": ["posting_date"], "sales_invoice_item": ["parent"],
+    sort_keys = {"sales_invoice": ["name"], "sales_invoice_item": ["parent"],
                  "customer_follow_up": ["customer", "creation"], "customer": ["name"]}
     for t in TABLES:
         df = getattr(src, t)
+        if t in BUCKET_KEYS:
+            df = df.repartition(buckets, BUCKET_KEYS[t])
         w = df.write.mode("overwrite").format("parquet").option("path", f"{root}/{t}")
         if t in BUCKET_KEYS:
             w = w.bucketBy(buckets, BUCKET_KEYS[t]).sortBy(*sort_keys[t])
@@ -81,16 +104,19 @@ def write_bucketed(spark, src: Sources, root: str, buckets: int, database: str =
 def read_catalog(spark, database: str = "retail", agents: DataFrame | None = None,
                  agent_list: list[dict] | None = None) -> Sources:
     """Sources over catalog tables (e.g. those of ``write_bucketed``)."""
-    from .agents import agents_frame
-
     frames = {t: spark.table(f"{database}.{t}") for t in TABLES}
-    return Sources(**frames, agents=agents if agents is not None else agents_frame(spark),
-                   agent_list=agent_list or load_agents())
+    return Sources(**frames, **_agents(spark, agents, agent_list))
+
+
+def _until(df: DataFrame, time: str, as_of: date | None) -> DataFrame:
+    """Rows of a timestamp column up to the end of ``as_of``."""
+    return df if as_of is None else df.filter(F.col(time) < F.lit(as_of + timedelta(days=1)).cast("timestamp_ntz"))
 
 
-# Submitted invoices only; the predicate reaches the parquet scan.
+# Submitted invoices up to as_of; both predicates reach the parquet scan.
 def invoices(src: Sources) -> DataFrame:
-    return src.sales_invoice.filter(F.col("docstatus") == 1)
+    out = src.sales_invoice.filter(F.col("docstatus") == 1)
+    return out if src.as_of is None else out.filter(F.col("posting_date") <= F.lit(src.as_of))
 
 
 # S2
@@ -105,7 +131,7 @@ def customers(src: Sources) -> DataFrame:
 
 # All follow-ups, or only those of configured agents (IN-list of config size).
 def follow_ups(src: Sources, configured_only: bool = False) -> DataFrame:
-    fu = src.customer_follow_up
+    fu = _until(src.customer_follow_up, "creation", src.as_of)
     if configured_only:
         fu = fu.filter(F.col("agent").isin(agent_emails(src.agent_list)))
     return fu
@@ -113,4 +139,4 @@ def follow_ups(src: Sources, configured_only: bool = False) -> DataFrame:
 
 # Call log of configured phones only.
 def calls(src: Sources) -> DataFrame:
-    return src.call_log.filter(F.col("agent_number").isin(agent_phones(src.agent_list)))
+    return _until(src.call_log, "start_time", src.as_of).filter(F.col("agent_number").isin(agent_phones(src.agent_list)))

@@ -4,19 +4,18 @@ when new source data lands (the re-aim of the cards' cache TTL).
 The reference keeps no data of its own: each card is re-queried on view and
 cached for a while (300 s for the day's follow-up log, 3600 s for the overdue
 trend). Here a result is a table partition per ``as_of``: ``publish`` writes
-it with dynamic partition overwrite, so re-running a day replaces exactly that
-day, and ``refresh_on_arrival`` re-runs the dashboard from a Structured
+its folder anew, so re-running a day replaces exactly that day, and ``refresh_on_arrival`` re-runs the dashboard from a Structured
 Streaming ``foreachBatch`` whenever new follow-up files arrive.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..plans import registry
 from ..session import checkpoint_dir
@@ -27,13 +26,12 @@ DEFAULT_ORDER = tuple(q.name for q in registry.QUERIES)
 
 
 def publish(df: DataFrame, name: str, as_of: date, root: str) -> str:
-    """K1: write one result as the ``as_of=<date>`` partition of ``root/name``."""
+    """K1: write one result as the ``as_of=<date>`` partition of ``root/name``.
+
+    The partition folder itself is overwritten, so an empty result empties its day and no other day is touched.
+    """
     path = os.path.join(root, name)
-    (df.withColumn("as_of", F.lit(as_of))
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("as_of")
-     .parquet(path))
+    df.write.mode("overwrite").parquet(os.path.join(path, f"as_of={as_of.isoformat()}"))
     return path
 
 
@@ -80,7 +78,8 @@ def refresh_on_arrival(spark: SparkSession, tables_root: str, results_root: str,
     fu_path = os.path.join(tables_root, "customer_follow_up")
     schema = spark.read.parquet(fu_path).schema
     stream = spark.readStream.schema(schema).parquet(fu_path)
-    ckpt = os.path.join(checkpoint_dir(spark), "refresh_followups")
+    own = hashlib.sha256(f"{tables_root}\n{results_root}".encode()).hexdigest()[:16]
+    ckpt = os.path.join(checkpoint_dir(spark), f"refresh_followups_{own}")
     names = list(names) if names is not None else None
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
