@@ -56,8 +56,8 @@ def targets(sizes: DataFrame, weights=(5, 2, 1), percent: int = 150, most: int =
     rest = by.rowsBetween(0, Window.unboundedFollowing)
     total = F.sum("source_size").over(Window.partitionBy()) * F.lit(percent / 100)
     one = one.withColumn("level", (total - F.coalesce(F.sum("full").over(before), F.lit(0.0))) / F.sum("w").over(rest))
-    # the first source that the level does not fill sets it for all
-    level = F.min(F.when(F.col("at") >= F.col("level"), F.col("level"))).over(Window.partitionBy())
+    # the first source that its level does not fill sets it for all; those of later ones, which count it as full, are lower
+    level = F.max(F.when(F.col("at") >= F.col("level"), F.col("level"))).over(Window.partitionBy())
     return one.select("source", "source_size", F.when(F.col("source_size") == 0, 0.0).otherwise(
         F.least(F.col("full"), F.coalesce(level, F.lit(float("inf"))) * F.col("w"))).alias("target"))
 
@@ -73,20 +73,20 @@ def mix(rows: DataFrame, seed: int = 7, weights=(5, 2, 1), percent: int = 150, m
     plan = targets(cells.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, most)
     expected = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * UNIT)).otherwise(F.lit(0)).cast("long")
     offset = F.pmod(F.xxhash64(F.coalesce("source", F.lit("\0")), F.lit(seed)), F.lit(UNIT))
-    plan = plan.select(F.col("source").alias("s"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
+    plan = plan.select(F.col("source").alias("__s"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
                        expected.alias("__expected"), offset.alias("__offset"))
     before = Window.partitionBy("source").orderBy("__band", "__cell").rowsBetween(Window.unboundedPreceding, -1)
-    base = cells.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    base = cells.join(plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     base = base.withColumn("__base", F.coalesce(F.sum(F.col("n") * F.col("__expected")).over(before), F.lit(0)) + F.col("__offset"))
-    base = c.stored(base.select(F.col("source").alias("s"), F.col("__band").alias("b"), F.col("__cell").alias("l"),
+    base = c.stored(base.select(F.col("source").alias("__s"), F.col("__band").alias("__b"), F.col("__cell").alias("__l"),
                                 "mix_source_size", "mix_target", "__expected", "__base"), "base")
     place = Window.partitionBy("source", "__band", "__cell").orderBy("__spread", "doc_id")
     out = rows.withColumn("__at", F.row_number().over(place)).join(
-        base, F.col("source").eqNullSafe(F.col("s")) & (F.col("__band") == F.col("b")) & (F.col("__cell") == F.col("l")))
+        base, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__band") == F.col("__b")) & (F.col("__cell") == F.col("__l")))
     end = F.col("__base") + F.col("__at") * F.col("__expected")
     copies = F.floor(end / UNIT) - F.floor((end - F.col("__expected")) / UNIT)
     out = out.withColumn("mix_copies", copies.cast("int"))
-    return out.drop("s", "b", "l", "__at", "__expected", "__base", "__band", "__cell", "__spread")
+    return out.drop("__s", "__b", "__l", "__at", "__expected", "__base", "__band", "__cell", "__spread")
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
