@@ -7,7 +7,7 @@ bin is selected, so selection depends on its surroundings only. Hashes of the se
 into Bloom filters of 2,048 bits, a new one after every 128 features. Two chains are
 compared filter by filter: common bits beyond those that chance gives, over the most
 there could be, best match for each filter of the shorter chain, averaged by its bits.
-Texts of under 192 bytes also have all their windows of 8 bytes as features, and those of
+Texts of under 512 bytes also have all their windows of 8 bytes as features, and those of
 under 64 bytes no others, so that an edit across a limit leaves features in common.
 """
 
@@ -25,7 +25,7 @@ from . import common as c
 
 WINDOW, REACH, BINS = 32, 3, 256
 BITS, EACH, HASHES = 2048, 128, 5
-SHORT, SHORT_BOTH, SHORT_ONLY = 8, 192, 64
+SHORT, SHORT_BOTH, SHORT_ONLY = 8, 512, 64
 #: Bits of entropy below which a window says nothing; it comes last.
 PLAIN = 2.0
 
