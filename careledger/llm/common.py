@@ -64,8 +64,15 @@ def drop_stored(df: DataFrame) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
+#: Rows of an Arrow batch: texts are long, so fewer than Spark's 10,000, unless the session says otherwise.
+BATCH_ROWS, SPARK_BATCH_ROWS = 2000, "10000"
+
+
 def workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, if nothing else does."""
+    """Let Python workers import this package from where the driver has it, if nothing else does, and have texts sent
+    in batches of ``BATCH_ROWS``, if the session has Spark's default."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == SPARK_BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -157,6 +164,15 @@ def range_of(key, bounds: list[int]):
 
 # --------------------------------------------------------------- texts as arrays
 
+#: What workers keep between tasks of one operator; another operator's tasks let go of it.
+KEPT_BY_WORKER: list[dict] = []
+
+
+def forget() -> None:
+    for kept in KEPT_BY_WORKER:
+        kept.clear()
+
+
 
 def texts_of(col) -> pa.Array:
     """Arrow string column as one large_string array, null as empty."""

@@ -77,6 +77,7 @@ def _describe(k):
                                 pa.array(s.view(np.int64)), pa.nulls(len(s), pa.list_(pa.int64()))], schema=schema)
 
     def run(batches):
+        c.forget()
         seen, held, nodes = [], 0, set()
         for b in batches:
             ids = b.column(0)
@@ -110,6 +111,7 @@ def _entries(k, frequent, num, den):
                                names=["col", "node", "n", "id"])
 
     def run(batches):
+        c.forget()
         often = frequent.value
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)

@@ -88,6 +88,7 @@ def with_stats(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     def run(batches):
+        c.forget()
         for b in batches:
             x = _counts(c.texts_of(b.column(b.schema.get_field_index("text"))))
             yield pa.record_batch([*b.columns, *[pa.array(x[:, k]) for k in range(x.shape[1])]], names=[*names, *STATS])

@@ -108,6 +108,7 @@ def _trimmed(raw, start, end):
 
 def _chunks(batches):
     """Distinct (digest, id) of each text."""
+    c.forget()
     for b in batches:
         ids = b.column(0).to_numpy(zero_copy_only=False)
         raw, off = c.buffers(c.texts_of(b.column(1)))

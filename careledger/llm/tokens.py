@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from . import common as c
 
-KEPT = 1_000_000
+KEPT = 700_000
 _known: dict[str, dict] = {}
 _loaded: dict[str, object] = {}
 _folds: dict[str, bool] = {}
@@ -51,6 +51,7 @@ def _tokenizer(path: str):
         t.encode_special_tokens = True  # their strings in a text are ordinary text
         _loaded[path] = t
         _known[path] = {}
+        c.KEPT_BY_WORKER.append(_known[path])
         words = t.get_vocab(True)
         marks = np.zeros(max(words.values()) + 1, bool)
         marks[[i for w, i in words.items() if w.endswith("</w>")]] = True
