@@ -73,25 +73,6 @@ def is_grooming_group(item_group: str | Column = "item_group") -> Column:
     return item_group.isin(*cfg.GROOMING_GROUPS)
 
 
-def category(item_group: str | Column = "item_group") -> Column:
-    if isinstance(item_group, str):
-        return F.expr(f"CASE WHEN {sql_name(item_group)} IN {sql_in(cfg.GROOMING_GROUPS)} "
-                      f"THEN {sql_lit(cfg.CATEGORY_GROOMING)} ELSE {sql_lit(cfg.CATEGORY_PRODUCT)} END")
-    return F.when(is_grooming_group(item_group), F.lit(cfg.CATEGORY_GROOMING)).otherwise(F.lit(cfg.CATEGORY_PRODUCT))
-
-
-def is_food_group(item_group: str | Column = "item_group") -> Column:
-    if isinstance(item_group, str):
-        return F.expr(f"{sql_name(item_group)} IN {sql_in(cfg.FOOD_GROUPS)}")
-    return item_group.isin(*cfg.FOOD_GROUPS)
-
-
-# Food type label of an item group.
-def food_type(item_group: str = "item_group") -> Column:
-    whens = " ".join(f"WHEN {sql_lit(g)} THEN {sql_lit(label)}" for g, label in cfg.FOOD_TYPES)
-    return F.expr(f"CASE {sql_name(item_group)} {whens} END")
-
-
 # Smart grooming quantity of one invoice (use inside .agg()).
 def smart_qty(item_group: str = "item_group", item_code: str = "item_code", qty: str = "qty") -> Column:
     """Σ qty of base grooming lines when positive, else the largest add-on qty."""
@@ -102,11 +83,6 @@ def smart_qty(item_group: str = "item_group", item_code: str = "item_code", qty:
                   f"ELSE max(CASE WHEN {g} AND {add} THEN {sql_name(qty)} ELSE 0 END) END")
 
 
-# Ordered distinct list joined by ', ' (NULL when there is nothing to list).
-def joined_set(c: str | Column, sep: str = ", ") -> Column:
-    return F.nullif(F.array_join(F.array_sort(F.collect_set(col(c))), sep), F.lit(""))
-
-
 # C10: 'Grooming', 'Products', both or NULL from 0/1 flags.
 def buys(has_grooming: str = "has_grooming", has_products: str = "has_products") -> Column:
     g = f"coalesce({sql_name(has_grooming)}, 0) = 1"
@@ -150,43 +126,18 @@ def days_between(later: Column | date, earlier: Column | date) -> Column:
                       earlier if isinstance(earlier, Column) else F.lit(earlier))
 
 
-# '₹' + Indian digit grouping (3, then 2, 2); NULL stays NULL.
+# '₹' + Indian digit grouping; NULL stays NULL, negative amounts are not grouped.
+#: Places within a digit string that get a comma: 3, 5 and 7 digits before its end.
+INR_COMMAS = "(?<=^[0-9]{1,18})(?=([0-9]{2}){0,2}[0-9]{3}$)"
+
+
 def inr_sql(x: str) -> str:
     """The formatter as Spark SQL text over the SQL expression ``x``."""
-    a = f"CAST(ROUND({x}) AS BIGINT)"
-    three = f"lpad(CAST({a} % 1000 AS STRING), 3, '0')"
-    two_k = f"lpad(CAST(({a} % 100000) div 1000 AS STRING), 2, '0')"
-    two_l = f"lpad(CAST(({a} % 10000000) div 100000 AS STRING), 2, '0')"
-    return (f"concat('₹', CASE WHEN {a} < 1000 THEN CAST({a} AS STRING) "
-            f"WHEN {a} < 100000 THEN concat(CAST({a} div 1000 AS STRING), ',', {three}) "
-            f"WHEN {a} < 10000000 THEN concat(CAST({a} div 100000 AS STRING), ',', {two_k}, ',', {three}) "
-            f"ELSE concat(CAST({a} div 10000000 AS STRING), ',', {two_l}, ',', {two_k}, ',', {three}) END)")
+    return f"concat('₹', regexp_replace(CAST(CAST(round({x}) AS BIGINT) AS STRING), '{INR_COMMAS}', ','))"
 
 
 def inr(amount: Column | str) -> Column:
     """₹ formatting of a column (by name: one SQL expression, parsed JVM-side)."""
     if isinstance(amount, str):
-        return F.expr(inr_sql(f"`{amount}`"))
-    return _inr_column(amount)
-
-
-def _inr_column(amount: Column) -> Column:
-    """Column-built form for arbitrary expressions (many small JVM calls)."""
-    a = F.round(amount, 0).cast("bigint")
-
-    def part(divisor: int, modulus: int | None, width: int) -> Column:
-        x = a if modulus is None else F.pmod(a, F.lit(modulus))
-        q = F.floor(x / F.lit(divisor)) if divisor != 1 else x
-        return F.lpad(q.cast("string"), width, "0")
-
-    three = F.lpad(F.pmod(a, F.lit(1000)).cast("string"), 3, "0")
-    body = (
-        F.when(a < 1000, a.cast("string"))
-        .when(a < 100_000, F.concat(F.floor(a / F.lit(1000)).cast("string"), F.lit(","), three))
-        .when(a < 10_000_000, F.concat(F.floor(a / F.lit(100_000)).cast("string"), F.lit(","),
-                                      part(1000, 100_000, 2), F.lit(","), three))
-        .otherwise(F.concat(F.floor(a / F.lit(10_000_000)).cast("string"), F.lit(","),
-                            part(100_000, 10_000_000, 2), F.lit(","),
-                            part(1000, 100_000, 2), F.lit(","), three))
-    )
-    return F.concat(F.lit("₹"), body)
+        return F.expr(inr_sql(sql_name(amount)))
+    return F.concat(F.lit("₹"), F.regexp_replace(F.round(amount, 0).cast("bigint").cast("string"), INR_COMMAS, ","))
