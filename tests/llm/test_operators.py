@@ -178,6 +178,21 @@ def test_embeddings_recall(spark):
     assert embeddings.near_vectors(df.where("vec_id < 0")).count() == 0
 
 
+def test_embeddings_recall_in_a_crowded_topic(spark):
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    x = unit(rng.standard_normal((4500, 32)))
+    x[:1500] = unit(np.sqrt(0.8) * x[-1] + np.sqrt(0.2) * x[:1500])  # a third about one topic
+    near = rng.standard_normal((600, 32))
+    near = unit(near - (near * x[:600]).sum(1, keepdims=True) * x[:600])
+    x[600:1200] = 0.96 * x[:600] + 0.28 * near
+    want = ((x @ x.T) >= 0.95).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(df, window=12).collect()}
+    assert want.sum() >= 1200 and sum(got.values()) >= 0.99 * want.sum()
+    assert all(got[i] <= want[i] for i in got)
+
+
 # ------------------------------------------------------------------ 4
 
 
