@@ -24,7 +24,8 @@ DEPTH = 6
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|select|iframe|object|svg|canvas|title|button|audio|video|math)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?<=/)>"  # empty
+    r"|<(?P<raw>script|style|noscript|template|textarea|select|iframe|object|svg|canvas|title|button|audio|video|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
     re.S | re.I)

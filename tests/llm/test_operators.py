@@ -145,6 +145,13 @@ def test_html(spark):
     assert all(html_text._says(html_text.fit(spark), x) == (y > 0.5) for x, y in html_text.labelled())
 
 
+def test_html_custom_elements_and_empty_drawings_hide_nothing():
+    for tag in ("<svg-icon></svg-icon>", "<video-js id=v></video-js>", "<button-x>", "<title-card />", "<svg/>", "<svg class='i' viewBox=\"0 0 1 1\" />", "<math/>", "<svg><path d='M0'/></svg>"):
+        page = f"<article><p>one</p>{tag}<p>two</p></article>"
+        assert [t for t, _ in html_text.blocks(page)] == ["one", "two"], tag
+    assert [t for t, _ in html_text.blocks("<p>a</p><svg a='/'><text>no</text></svg><button type=x>no</button><p>b</p>")] == ["a", "b"]
+
+
 def test_html_articles_of_the_table(spark):
     import html
 
