@@ -1,6 +1,7 @@
 """Operator 5: document fingerprints of improbable features.
 
-A window of ``WINDOW`` bytes begins at every word. Its entropy (over 32 classes of bytes)
+A window of ``WINDOW`` bytes begins at every word, and at every character that has more
+than ``WINDOW`` bytes without white space before it. Its entropy (over 32 classes of bytes)
 falls into one of ``BINS`` bins, and one pass over the corpus counts how many windows each
 bin has: the fewer, the rarer. Of the windows in reach of one another the one of the rarest
 bin is selected, so selection depends on its surroundings only. Hashes of the selected windows go in order
@@ -28,22 +29,39 @@ BITS, EACH, HASHES = 2048, 128, 5
 SHORT, SHORT_BOTH, SHORT_ONLY = 8, 512, 64
 #: Bits of entropy below which a window says nothing; it comes last.
 PLAIN = 2.0
+#: Windows whose entropy is found at a time.
+AT_ONCE = 1 << 17
 
 _COUNT = np.arange(WINDOW + 1, dtype=np.float64)
 _PLOGP = np.where(_COUNT > 0, -(_COUNT / WINDOW) * np.log2(np.maximum(_COUNT, 1) / WINDOW), 0.0)
 _FIELDS = [np.where(np.arange(256) % 32 // 8 == q, np.uint64(1) << (np.arange(256).astype(np.uint64) % np.uint64(8) * np.uint64(8)), np.uint64(0)) for q in range(4)]
 
 
-def _windows(raw, off):
-    """(start, text, bin) of the whole windows at word starts."""
+def _starts(raw, off):
+    """(start, text) of words and, in stretches without white space, of the characters beyond their first ``WINDOW`` bytes."""
     s, _, text = c.words_of(raw, off)
+    at = np.arange(len(raw))
+    last = np.maximum.accumulate(np.where(c.SPACE[raw], at, -1))  # white space at or before each byte
+    last = np.maximum(last, np.repeat(off[:-1], np.diff(off)) - 1)  # of this text
+    more = np.flatnonzero((at - last > WINDOW) & ((raw & 0xC0) != 0x80))
+    if not len(more):
+        return s, text
+    s = np.union1d(s, more)
+    return s, np.searchsorted(off, s, side="right") - 1
+
+
+def _windows(raw, off):
+    """(start, text, bin) of the whole windows at ``_starts``."""
+    s, text = _starts(raw, off)
     ok = s + WINDOW <= off[text + 1] if len(s) else np.zeros(0, bool)
     s, text = s[ok], text[ok]
     h = np.zeros(len(s))
     for f in _FIELDS:
         p = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(f[raw], out=p[1:], dtype=np.uint64)  # eight counters in a word; differences are exact
-        h += _PLOGP[(p[s + WINDOW] - p[s]).view(np.uint8).reshape(-1, 8)].sum(1)
+        for i in range(0, len(s), AT_ONCE):
+            x = s[i : i + AT_ONCE]
+            h[i : i + AT_ONCE] += _PLOGP[(p[x + WINDOW] - p[x]).view(np.uint8).reshape(-1, 8)].sum(1)
     return s, text, np.minimum((h * (BINS / 5.0)).astype(np.int64), BINS - 1)
 
 

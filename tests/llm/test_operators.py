@@ -241,6 +241,19 @@ def test_fingerprints(spark):
     assert fingerprint.fingerprints(empty(spark)).count() == 0
 
 
+def test_fingerprints_of_texts_without_white_space(spark):
+    rng = np.random.default_rng(8)
+    signs = lambda n: "".join(map(chr, 0x4E00 + rng.integers(0, 3000, n)))
+    base, other = signs(600), signs(600)
+    alike = base[:20] + other[20:]  # begins like base
+    late = signs(12) + base[12:]  # differs in its first 36 bytes
+    mixed = "some words first " + base
+    rank = fingerprint.rarity(frame(spark, [(1, base), (2, other), (3, late)]))
+    b, a, n, m, o = fingerprint.chains([base, alike, late, mixed, "some words first " + other], rank)
+    assert fingerprint.likeness(b, a) < 0.3 and fingerprint.likeness(b, n) > 0.8
+    assert fingerprint.likeness(b, m) > 0.8 and fingerprint.likeness(m, o) < 0.3
+
+
 # ------------------------------------------------------------------ 6
 
 
