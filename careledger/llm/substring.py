@@ -3,12 +3,12 @@
 A gear rolling hash (a byte's table value added to the doubly shifted hash, so 16 bytes
 of memory) is read at the end of each word; a chunk ends where it is the largest among
 the two word ends on either side. Cuts depend on nothing farther away, so an insertion
-shifts no other chunk. Chunks are compared by a 64-bit digest: every occurrence but the
-first (smallest doc_id, then position) is a repeat, and a run of repeats of at least
-``min_words`` words is removed (later occurrences
-within one text included). A run misses at most the chunk cut by either end of a
-repeated passage. One equal digest of unequal chunks alone removes nothing, since a run
-holds several chunks.
+shifts no other chunk. Compared are groups of adjacent chunks, the fewest that hold
+``min_words`` words from a chunk on (or up to a chunk that ends none of those), by a 64-bit
+digest of their chunks in order: every occurrence but the first (smallest doc_id, then
+position; later ones within one text included) is a repeat, and the chunks it covers are
+removed. So short chunks that each came before, but not together, stay. A removed run
+misses at most the chunk cut by either end of a repeated passage.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-#: Words of a run of repeated chunks that make it a repeated passage.
+#: Words of adjacent chunks that repeat together that make them a repeated passage.
 MIN_WORDS = 16
-#: A run of so many bytes for each of min_words counts too (text without white space).
+#: So many bytes for each of min_words count too (text without white space).
 LONG_WORD = 24
 #: Word ends on either side that a cut must exceed.
 REACH = 2
@@ -106,23 +106,48 @@ def _trimmed(raw, start, end):
     return e
 
 
-def _chunks(batches):
-    """Distinct (digest, id) of each text."""
-    c.forget()
-    for b in batches:
-        ids = b.column(0).to_numpy(zero_copy_only=False)
-        raw, off = c.buffers(c.texts_of(b.column(1)))
-        for i, j in c.slices(off):
-            part, o = raw[off[i] : off[j]], off[i : j + 1] - off[i]
-            start, end, text = cuts_of(part, o)
-            if not len(start):
-                continue
-            h = c.span_hashes(part, start, _trimmed(part, start, end))
-            order = np.lexsort((h, text))
-            h, text = h[order], text[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-            yield pa.record_batch([pa.array(h[new].view(np.int64)), pa.array(ids[i:j][text[new]], pa.int64())], names=["digest", "id"])
+def _groups(raw, off, start, end, text, min_words):
+    """(first chunk, end, text, digest) of the groups of adjacent chunks, by text and first chunk."""
+    n = len(start)
+    stop = _trimmed(raw, start, end)
+    lo, hi = np.searchsorted(text, text), np.searchsorted(text, text, side="right")
+    first, last = np.full(n, n + 1), np.full(n, -1)  # shortest group from a chunk on, up to a chunk
+    for size, least in ((_n_words(raw, start, end, off), min_words), (stop - start, LONG_WORD * min_words)):
+        cum = np.concatenate([[0], np.cumsum(size)])
+        first = np.minimum(first, np.searchsorted(cum, cum[:-1] + least))
+        last = np.maximum(last, np.searchsorted(cum, cum[1:] - least, side="right") - 1)
+    i = np.flatnonzero(first <= hi)
+    j = np.flatnonzero(last >= lo)
+    j = j[first[last[j]] != j + 1]
+    a, b = np.concatenate([i, last[j]]), np.concatenate([first[i], j + 1])
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    r, rinv = c._powers(n + 1)
+    p = np.zeros(n + 1, np.uint64)
+    np.cumsum(c.span_hashes(raw, start, stop) * r[:-1], out=p[1:], dtype=np.uint64)
+    return a, b, text[a], c.mix((p[b] - p[a]) * rinv[a] + (b - a).astype(np.uint64))
+
+
+def _chunks(min_words):
+    """Distinct (digest, id) of the groups of each text."""
+
+    def run(batches):
+        c.forget()
+        for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            raw, off = c.buffers(c.texts_of(b.column(1)))
+            for i, j in c.slices(off):
+                part, o = raw[off[i] : off[j]], off[i : j + 1] - off[i]
+                _, _, text, h = _groups(part, o, *cuts_of(part, o), min_words)
+                if not len(h):
+                    continue
+                order = np.lexsort((h, text))
+                h, text = h[order], text[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+                yield pa.record_batch([pa.array(h[new].view(np.int64)), pa.array(ids[i:j][text[new]], pa.int64())], names=["digest", "id"])
+
+    return run
 
 
 def _kept(min_words):
@@ -138,28 +163,34 @@ def _kept(min_words):
             for i, j in c.slices(off):
                 part, o = raw[off[i] : off[j]], off[i : j + 1] - off[i]
                 start, end, text = cuts_of(part, o)
-                h = c.span_hashes(part, start, _trimmed(part, start, end))
-                order = np.lexsort((np.arange(len(h)), h, text))
+                g, g_end, g_text, h = _groups(part, o, start, end, text, min_words)
+                order = np.lexsort((np.arange(len(h)), h, g_text))
                 twice = np.zeros(len(h), bool)  # came before in the same text
-                twice[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+                twice[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (g_text[order[1:]] == g_text[order[:-1]])
                 words = _n_words(part, start, end, o)
                 first = np.searchsorted(text, np.arange(j - i + 1))
+                g_first = np.searchsorted(g_text, np.arange(j - i + 1))
                 for x in range(j - i):
                     f, e = first[x], first[x + 1]
+                    of = slice(g_first[x], g_first[x + 1])
                     m = marks[i + x]
-                    again = twice[f:e]
+                    seen = twice[of]
                     if m:
-                        again = again | np.isin(h[f:e], np.array(m, np.int64).view(np.uint64))
+                        seen = seen | np.isin(h[of], np.array(m, np.int64).view(np.uint64))
                     spans, gone = [], 0
-                    if again.any():
-                        rep = np.zeros(e - f + 2, np.int8)
+                    again = np.zeros(e - f, bool)  # chunks that a group seen before covers
+                    if seen.any():
+                        rep = np.zeros(e - f + 2, np.int64)
+                        np.add.at(rep, g[of][seen] - f + 1, 1)
+                        np.add.at(rep, g_end[of][seen] - f + 1, -1)
+                        again = np.cumsum(rep)[1:-1] > 0
+                        rep[:] = 0
                         rep[1:-1] = again
                         up, down = np.flatnonzero(np.diff(rep) == 1), np.flatnonzero(np.diff(rep) == -1)
                         cum = np.concatenate([[0], np.cumsum(words[f:e])])
                         for s, t in zip(up, down, strict=True):
-                            if cum[t] - cum[s] >= min_words or end[f + t - 1] - start[f + s] >= LONG_WORD * min_words:
-                                spans.append((int(start[f + s] - o[x]), int(end[f + t - 1] - o[x])))
-                                gone += int(cum[t] - cum[s])
+                            spans.append((int(start[f + s] - o[x]), int(end[f + t - 1] - o[x])))
+                            gone += int(cum[t] - cum[s])
                     body = bytes(part[o[x] : o[x + 1]])
                     cps, keep, at = [], [], 0
                     for s, t in spans:
@@ -195,7 +226,7 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     nothing to each other. A text wholly repeated becomes empty; its row stays. An empty table gives no rows.
     """
     rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    occ = rows.select("__id", F.col("text").cast("string")).mapInArrow(_chunks, "digest long, id long")
+    occ = rows.select("__id", F.col("text").cast("string")).mapInArrow(_chunks(min_words), "digest long, id long")
     known = occ.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     again = occ.join(known, "digest").where("id > first")
     marks = again.groupBy("id").agg(F.collect_set("digest").alias("__marks")).withColumnRenamed("id", "__id")

@@ -112,6 +112,20 @@ def test_repeated_passages_go_and_clean_texts_stay(spark):
     assert all(out[50 + i].text == rows[8 + i][1] for i in range(8))
 
 
+def test_chunks_that_came_before_apart_stay(spark):
+    clean = text(60, 80)
+    w, rows = clean.split(), []
+    raw, off = common.buffers(common.texts_of(__import__("pyarrow").array([clean])))
+    for k, (a, b) in enumerate(zip(*substring.cuts_of(raw, off)[:2], strict=True)):  # each chunk in a text of its own, with 4 words about it
+        i, j = len(clean[:a].split()), len(clean[:b].split())
+        assert j - max(0, i - 4) < 16
+        rows.append((k, f"{text(500 + k, 30)} {' '.join(w[max(0, i - 4) : j + 4])} {text(600 + k, 30)}"))
+    rows += [(900, clean), (901, text(61, 30) + " " + clean)]
+    out = {r.doc_id: r for r in substring.substring_dedup(frame(spark, rows, False)).collect()}
+    assert out[900].text == clean and out[900].dedup_spans == []
+    assert out[901].dedup_n_words_removed >= 70
+
+
 def test_chunks_tile_and_resist_shifts():
     def chunks(t):
         raw, off = common.buffers(common.texts_of(__import__("pyarrow").array([t])))
