@@ -3,14 +3,16 @@
 Each task tokenizes its documents and packs them in groups of ``GROUP`` tokens or so:
 
 * a document's whole windows of the longest length are sequences of their own; what is
-  left of it (or all of it) goes to the tier of the smallest power of two that holds it;
-* from the longest tier down, a remainder opens a window of the longest length, and the
-  gap behind it is filled from the shorter tiers, longest that fits first, so that nothing
-  is cut; a gap that no whole remainder fits takes the head of the next one;
-* the last window of a task shrinks to the smallest power of two that holds it; the
+  left of it (or all of it) goes to the tier of the shortest sequence that holds it, a
+  quarter, a half or the whole of the longest;
+* from the longest tier down, a remainder opens a sequence of its tier's length, and the
+  gap behind it is filled from the same and shorter tiers, longest that fits first; a gap
+  that no whole remainder fits takes the head of the next one, whose rest goes to its own tier;
+* the last sequence of a task shrinks to the smallest power of two that holds it; the
   others are full. A task so wastes less than half a window;
-* windows of a group are dealt to step groups of ``per_step`` by the number of documents
-  in them, up and down in turn, so that steps of a group cost alike.
+* sequences of a group are dealt to step groups of ``per_step`` longest ones' tokens, by
+  length and then by the sum of squares of their pieces' lengths (the cost of attention),
+  up and down in turn, so that steps of a group hold alike numbers of each length.
 
 Nothing is shuffled, and a task that is run again packs the same rows the same way: the
 sequence ids carry the number of the task's partition.
@@ -29,15 +31,20 @@ from pyspark.sql import DataFrame
 from . import common as c
 from .tokens import token_ids, tokenizer_path
 
-LONGEST, SHORTEST = 1024, 16
+LONGEST = 1024
 #: Tokens packed at a time.
 GROUP = 1 << 22
 
 
+def _lengths(window):
+    """Lengths of sequences, the shortest first."""
+    return sorted({max(1, window // 4), max(1, window // 2), window})
+
+
 def _lay(pieces, window):
-    """Fill windows with remainders, pieces = [(length, key)]: lists of (key, start in piece, length).
+    """Fill sequences with remainders, pieces = [(length, key)]: lists of (key, start in piece, length).
 
-    Returns the full windows and the pieces left over, less than a window together.
+    Returns the full sequences and the pieces left over, less than a window together.
     """
     tiers = defaultdict(list)
     for n, key in sorted(pieces, key=lambda x: (x[0], x[1])):
@@ -45,8 +52,12 @@ def _lay(pieces, window):
     lengths = sorted(tiers)
     left = sum(n for n, _ in pieces)
     full = []
-    while left >= window:
-        gap, row = window, []
+    own = _lengths(window)
+    while lengths:
+        opened = own[bisect.bisect_left(own, lengths[-1])]  # the tier of the longest that is left
+        if left < opened:
+            break
+        gap, row = opened, []
         while gap:
             at = bisect.bisect_right(lengths, gap) - 1
             if at >= 0:  # the longest that fits
@@ -65,7 +76,7 @@ def _lay(pieces, window):
                 gap = 0
             if not tiers[n]:
                 lengths.remove(n)
-        left -= window
+        left -= opened
         full.append(row)
     return full, [(n, key, s) for n in reversed(lengths) for key, s in tiers[n]]
 
@@ -82,6 +93,7 @@ def _packed(path, end_id, window, per_step):
         held = []  # ((document, start), ids) to be packed
         docs = {}  # document -> (doc_id, tokens, tier)
         state = {"n": 0, "key": 0}
+        own = _lengths(window)
 
         def flush(last):
             pieces = [(len(x), k) for k, (_, x) in enumerate(held)]
@@ -100,8 +112,9 @@ def _packed(path, end_id, window, per_step):
             return out
 
         def emit(rows, partial):
-            order = sorted(range(len(rows)), key=lambda r: (len(rows[r]), r))
-            steps = max(1, len(rows) // per_step)
+            used = [sum(n for _, _, n in row) for row in rows]
+            order = sorted(range(len(rows)), key=lambda r: (-used[r], -sum(n * n for _, _, n in rows[r]), r))
+            steps = max(1, sum(used) // (per_step * window))
             step = {}
             for at, r in enumerate(order):
                 turn, place = divmod(at, steps)
@@ -109,8 +122,7 @@ def _packed(path, end_id, window, per_step):
             first_step = made[0]
             cols = [[] for _ in schema]
             for r, row in enumerate(rows):
-                used = sum(n for _, _, n in row)
-                length = window if not (partial and r == len(rows) - 1) else max(1, 1 << (used - 1).bit_length())
+                length = used[r] if not (partial and r == len(rows) - 1) else max(1, 1 << (used[r] - 1).bit_length())
                 at = 0
                 for k, s, n in row:
                     (d, start), x = held[k]
@@ -134,7 +146,7 @@ def _packed(path, end_id, window, per_step):
                     key = state["key"]
                     state["key"] += 1
                     rest = len(t) % window
-                    docs[key] = (ids[i + x], len(t), max(SHORTEST, 1 << (rest - 1).bit_length()) if rest else window)
+                    docs[key] = (ids[i + x], len(t), own[bisect.bisect_left(own, rest or window)])
                     for s in range(0, len(t) - rest, window):
                         held.append(((key, s), t[s : s + window]))
                     if rest:
@@ -153,7 +165,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = 0, window: int
 
     A document's ids are those of its text (null: empty) and ``end_id``, so an empty text is one id. doc_tokens
     counts them, start those before the piece; ids are the piece's. ids_crc32 is over little-endian unsigned
-    32-bit ids. sequence_length is the padded length, tier the tier of the document's remainder. Null or repeated
+    32-bit ids. sequence_length is the padded length, tier the sequence length that the document's remainder is routed to. Null or repeated
     ids are documents of their own. An empty table gives no rows.
     """
     rows = c.columns_of(docs, {"doc_id": "long", "text": "string"})

@@ -346,6 +346,18 @@ def test_packing_places_every_id_once(spark):
     assert packing.pack(empty(spark)).count() == 0
 
 
+def test_packing_routes_remainders_to_sequences_of_several_lengths(spark):
+    rows = [(i, text(i, int(n))) for i, n in enumerate([*np.random.default_rng(3).integers(1, 400, 400), *np.random.default_rng(4).integers(1, 50, 900)])]
+    out = packing.pack(frame(spark, rows).coalesce(1)).toPandas()
+    last = out.sequence_id.max()
+    seqs = out[out.sequence_id != last].groupby("sequence_id").agg(length=("sequence_length", "first"), used=("length", "sum"), longest=("length", "max"), step=("step_group", "first"))
+    assert set(seqs.length) == {256, 512, 1024} and (seqs.used == seqs.length).all()
+    assert (seqs.longest[seqs.length == 512] > 256).all() and (seqs.longest[seqs.length == 1024] > 512).all()
+    assert set(out.tier) == {256, 512, 1024}
+    each = seqs.groupby(["step", "length"]).size().unstack(fill_value=0)
+    assert len(each) > 3 and (each.max() - each.min() <= 2).all()
+
+
 def test_token_files(spark):
     docs = frame(spark, ODD + [(100 + i, text(i, 300)) for i in range(60)])
     files = tokenfile.write_tokens(docs, common.new_dir(spark, "test"), rows_each=9)
