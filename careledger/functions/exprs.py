@@ -59,13 +59,6 @@ def is_blank(c: str | Column) -> Column:
     return F.coalesce(F.trim(c), F.lit("")) == ""
 
 
-def is_set(c: str | Column) -> Column:
-    """Non-NULL and not the empty string (no trim), as `x IS NOT NULL AND x != ''`."""
-    if isinstance(c, str):
-        return F.expr(f"{sql_name(c)} IS NOT NULL AND {sql_name(c)} != ''")
-    return c.isNotNull() & (c != "")
-
-
 # Sales category of a line.
 def is_grooming_group(item_group: str | Column = "item_group") -> Column:
     if isinstance(item_group, str):
@@ -120,12 +113,6 @@ def money(c: Column, digits: int = 0) -> Column:
     return F.round(c, digits).cast("double")
 
 
-def days_between(later: Column | date, earlier: Column | date) -> Column:
-    """DATEDIFF(later, earlier) in days."""
-    return F.datediff(later if isinstance(later, Column) else F.lit(later),
-                      earlier if isinstance(earlier, Column) else F.lit(earlier))
-
-
 # '₹' + Indian digit grouping; NULL stays NULL, negative amounts are not grouped.
 #: Places within a digit string that get a comma: 3, 5 and 7 digits before its end.
 INR_COMMAS = "(?<=^[0-9]{1,18})(?=([0-9]{2}){0,2}[0-9]{3}$)"

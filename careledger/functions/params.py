@@ -123,21 +123,6 @@ def period_bounds(period: str, as_of: date) -> tuple[date, date]:
     return lo, hi
 
 
-# Optional inclusive bounds.
-def between_opt(c: str | Column, lo: date | None = None, hi: date | None = None) -> Column | None:
-    preds = []
-    if lo is not None:
-        preds.append(col(c) >= F.lit(lo))
-    if hi is not None:
-        preds.append(col(c) <= F.lit(hi))
-    if not preds:
-        return None
-    out = preds[0]
-    for p in preds[1:]:
-        out = out & p
-    return out
-
-
 def month_start(d: date) -> date:
     return d.replace(day=1)
 

@@ -11,28 +11,31 @@ total (items, invoices). Σline is taken **before** any line-level filter (the
 reference's window runs over the whole invoice).
 
 The allocated amount is computed in double in a fixed operation order and
-carried as decimal(18,4) (1/100 paisa), so sums over lines are exact and do not
+carried as a decimal of 1/100 paisa, so sums over lines are exact and do not
 depend on the order of addition.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import where
 from ..sources.tables import Sources, invoices, items
+from .summary import invoice_totals
 
 GROSS = "gross_with_tax"
+#: Allocated amounts, exact to 1/100 paisa; sums of them have 38 digits.
+ALLOCATED = "decimal(28,4)"
 
 
 def allocated(line: Column, grand: Column, line_sum: Column) -> Column:
     b = line.cast("double")
     g = grand.cast("double")
     s = line_sum.cast("double")
-    return (b + (g - s) * (b / F.nullif(s, F.lit(0.0)))).cast("decimal(18,4)")
+    return (b + (g - s) * (b / F.nullif(s, F.lit(0.0)))).cast(ALLOCATED)
 
 
 def invoice_lines(src: Sources, lo: date | None = None, hi_excl: date | None = None,
@@ -40,53 +43,16 @@ def invoice_lines(src: Sources, lo: date | None = None, hi_excl: date | None = N
                   invoice_cols: tuple[str, ...] = ("posting_date", "pos_profile")) -> DataFrame:
     """Lines of submitted invoices with posting_date in [lo, hi_excl), plus the
     allocated gross ``gross_with_tax`` and the requested invoice columns."""
-    inv = invoices(src)
-    if lo is not None:
-        inv = inv.filter(F.col("posting_date") >= F.lit(lo))
-    if hi_excl is not None:
-        inv = inv.filter(F.col("posting_date") < F.lit(hi_excl))
-    inv = where(inv, invoice_pred)
+    hi = None if hi_excl is None else hi_excl - timedelta(days=1)
     keep = tuple(dict.fromkeys(("name", "base_grand_total") + tuple(invoice_cols)))
-    inv = inv.select(*keep)
-    lines = items(src).join(inv, F.col("parent") == F.col("name"))
+    inv = where(invoices(src, lo, hi), invoice_pred).select(*keep)
+    lines = items(src, lo, hi).join(inv, F.col("parent") == F.col("name"))
     sums = lines.groupBy("parent").agg(F.sum("base_amount").alias("_line_sum"))
     out = lines.join(sums, "parent")
     return out.withColumn(GROSS, allocated(F.col("base_amount"), F.col("base_grand_total"), F.col("_line_sum"))) \
         .drop("_line_sum")
 
 
-def invoice_summary(src: Sources, lo: date | None = None, hi_excl: date | None = None,
-                    invoice_pred: Column | None = None,
-                    invoice_cols: tuple[str, ...] = ("posting_date", "pos_profile")) -> DataFrame:
-    """One row per submitted invoice (with lines) in [lo, hi_excl): the base
-    sums of the whole invoice, of its grooming/travel lines and of its other
-    lines, and the smart grooming quantity (A6).
-
-    Items join invoices on invoice id and the aggregate groups by that key, so
-    it adds no exchange; it is a partial aggregation, so a huge invoice is
-    combined map-side.
-    """
-    from ..functions.exprs import is_grooming_group, smart_qty
-
-    inv = invoices(src)
-    if lo is not None:
-        inv = inv.filter(F.col("posting_date") >= F.lit(lo))
-    if hi_excl is not None:
-        inv = inv.filter(F.col("posting_date") < F.lit(hi_excl))
-    inv = where(inv, invoice_pred)
-    keep = tuple(dict.fromkeys(("name", "base_grand_total") + tuple(invoice_cols)))
-    groom = is_grooming_group()
-    lines = items(src).join(inv.select(*keep), F.col("parent") == F.col("name"))
-    return lines.groupBy(*keep).agg(
-        F.sum("base_amount").alias("base_sum"),
-        F.sum(F.when(groom, F.col("base_amount"))).alias("grooming_base"),
-        F.count(F.when(groom, F.lit(1))).alias("grooming_lines"),
-        F.sum(F.when(groom, F.lit(None)).otherwise(F.col("base_amount"))).alias("product_base"),
-        F.count(F.when(groom, F.lit(None)).otherwise(F.lit(1))).alias("product_lines"),
-        smart_qty().alias("smart_qty"),
-    )
-
-
 def allocated_part(summary_part: str) -> Column:
     """Tax-allocated gross of one part of an invoice (Σ of its lines' W1 shares)."""
     return allocated(F.col(summary_part), F.col("base_grand_total"), F.col("base_sum"))
@@ -97,10 +63,10 @@ def invoice_categories(src: Sources, lo: date | None = None, hi_excl: date | Non
                        invoice_cols: tuple[str, ...] = ("posting_date", "pos_profile")) -> DataFrame:
     """Tax-allocated gross per (invoice, category) for the categories an
     invoice has lines in: ``B_c + (G - S) * B_c / S``, the exact sum of the
-    per-line allocations of that category (W1), carried as decimal(18,4)."""
+    per-line allocations of that category (W1)."""
     from ..config import CATEGORY_GROOMING, CATEGORY_PRODUCT
 
-    summ = invoice_summary(src, lo, hi_excl, invoice_pred, invoice_cols)
+    summ = invoice_totals(src, lo, None if hi_excl is None else hi_excl - timedelta(days=1), invoice_pred)
     parts = F.array(
         F.when(F.col("grooming_lines") > 0,
                F.struct(F.lit(CATEGORY_GROOMING).alias("category"), allocated_part("grooming_base").alias("g"))),

@@ -1,4 +1,4 @@
-"""Result shaping: spine fill (J4/J5), fixed-value pivots (A8), total rows."""
+"""Result shaping: spine fill (J4/J5) and fixed-value pivots."""
 
 from __future__ import annotations
 
@@ -27,8 +27,3 @@ def pivot_fixed(df: DataFrame, row_keys: list[str], pivot_col: str, values: list
     cols = [agg(F.when(F.col(pivot_col) == F.lit(v), value)).alias(n) for v, n in zip(values, names)]
     return df.groupBy(*row_keys).agg(*cols)
 
-
-def with_total_row(df: DataFrame, label_col: str, label: str, sum_cols: list[str]) -> DataFrame:
-    """Append one row holding the sums of ``sum_cols`` over the (small) frame."""
-    total = df.agg(*[F.sum(c).alias(c) for c in sum_cols]).select(F.lit(label).alias(label_col), *sum_cols)
-    return df.select(label_col, *sum_cols).unionByName(total)

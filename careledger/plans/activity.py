@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as cfg
 from ..functions.exprs import agent_name_case, call_bucket
 from ..functions.params import month_start, period_bounds
+from ..operators.position import in_order
 from ..sources.tables import at_day, calls, customers, follow_ups, Sources
 
 BUCKET_COLUMNS = {"answered": "Answered", "missed": "Missed", "busy": "Busy", "failed": "Failed",
@@ -62,14 +63,12 @@ def _mtd_follow_ups(src: Sources, as_of: date) -> DataFrame:
 
 
 @at_day
-def followups_mtd_by_agent(src: Sources, as_of: date) -> DataFrame:
+def followups_mtd_by_agent(src: Sources, as_of: date, position: bool = False) -> DataFrame:
     """Q36: month-to-date follow-ups per configured agent (agents with none are
     dropped by the inner join), in config order."""
     counts = _mtd_follow_ups(src, as_of).groupBy("agent").agg(F.count(F.lit(1)).alias("Follow-ups"))
-    return (
-        F.broadcast(src.agents).join(counts, F.col("email") == F.col("agent"))
-        .orderBy("ordinal").select(F.col("name").alias("Agent"), "Follow-ups")
-    )
+    rows = F.broadcast(src.agents).join(counts, F.col("email") == F.col("agent")).select(F.col("name").alias("Agent"), "Follow-ups", "ordinal")
+    return in_order(rows, [F.asc("ordinal")], position, ("ordinal",))
 
 
 @at_day
@@ -99,16 +98,15 @@ def followups_avg_daily(src: Sources, as_of: date) -> DataFrame:
 
 
 @at_day
-def followups_on_day_log(src: Sources, as_of: date, followup_day: date | None = None) -> DataFrame:
-    """Q40: the day's follow-ups, newest first."""
+def followups_on_day_log(src: Sources, as_of: date, followup_day: date | None = None, position: bool = False) -> DataFrame:
+    """Q40: the day's follow-ups, newest first (of one time: by follow-up id)."""
     fu = _day_follow_ups(src, followup_day or as_of)
     # Only the day's customers are needed from the (large) customer dimension:
     # a semi join first, so AQE can broadcast the small sides at run time.
     cust = customers(src).join(fu.select(F.col("customer").alias("name")), "name", "left_semi") \
         .select(F.col("name").alias("c_name"), F.col("customer_name").alias("c_customer_name"))
-    return (
+    rows = (
         fu.join(cust, F.col("customer") == F.col("c_name"), "left")
-        .orderBy(F.col("creation").desc())
         .select(
             F.date_format("creation", "HH:mm").alias("Time"),
             agent_name_case("agent", src.agent_list, "email", "agent").alias("Agent"),
@@ -118,5 +116,7 @@ def followups_on_day_log(src: Sources, as_of: date, followup_day: date | None =
             F.col("call_outcome").alias("Outcome"),
             F.nullif(F.trim("quick_note"), F.lit("")).alias("Notes"),
             F.col("next_follow_up").alias("Next Follow-up"),
+            F.col("creation").alias("_creation"), F.col("name").alias("_name"),
         )
     )
+    return in_order(rows, [F.desc("_creation"), F.asc("_name")], position, ("_creation", "_name"))

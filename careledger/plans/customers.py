@@ -9,6 +9,8 @@ per customer, so joining them on customer never multiplies rows.
 
 from __future__ import annotations
 
+import os
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 from .. import config as cfg
 from ..functions.exprs import pct
 from ..functions.params import add_months, channel_pred, month_start, relative_range, where
+from ..operators.position import in_order
 from ..operators.shaping import pivot_fixed
+from ..session import checkpoint_dir
 from ..sources.tables import at_day, customers, invoices, Sources
 
 
@@ -140,8 +144,8 @@ def _with_names(per_customer: DataFrame, src: Sources) -> DataFrame:
 
 @at_day
 def cohort_cell_customers(src: Sources, as_of: date, channel: str = "Both", cohort_month: date | None = None,
-                          months_since: int | None = None) -> DataFrame:
-    """Q21: customers of one cohort cell with their invoices in that month.
+                          months_since: int | None = None, position: bool = False) -> DataFrame:
+    """Q21: customers of one cohort cell with their invoices in that month, by revenue, name and id (``position`` adds the place).
     Empty unless both the cohort and the offset are given (P15).
 
     One aggregation per customer over paid invoices gives the first visit and
@@ -166,43 +170,71 @@ def cohort_cell_customers(src: Sources, as_of: date, channel: str = "Both", coho
     ).filter((F.trunc("first_visit", "MM") == F.lit(cohort)) & (F.col("Invoices") > 0))
     if empty:
         per_customer = per_customer.filter(F.lit(False))
-    return (
-        _with_names(per_customer, src)
-        .select(F.col("customer").alias("Customer ID"),
-                F.coalesce(F.col("customer_name"), F.col("customer")).alias("Customer"),
-                F.col("first_visit").alias("First Visit"), "Invoices",
-                F.round(F.col("revenue"), 0).cast("double").alias("Revenue"),
-                "First Invoice This Period", "Last Invoice This Period")
-        .orderBy(F.col("Revenue").desc(), F.col("Customer").asc())
-    )
+    return in_order(_cell_rows(per_customer, src), [F.desc("Revenue"), F.asc("Customer"), F.asc("Customer ID")], position)
+
+
+def _cell_rows(per_customer: DataFrame, src: Sources) -> DataFrame:
+    return _with_names(per_customer, src).select(
+        F.col("customer").alias("Customer ID"), F.coalesce(F.col("customer_name"), F.col("customer")).alias("Customer"),
+        F.col("first_visit").alias("First Visit"), "Invoices", F.round(F.col("revenue"), 0).cast("double").alias("Revenue"),
+        "First Invoice This Period", "Last Invoice This Period")
+
+
+def _roster_rows(per_customer: DataFrame, src: Sources) -> DataFrame:
+    return _with_names(per_customer, src).select(
+        F.col("customer").alias("Customer ID"), F.coalesce(F.col("customer_name"), F.col("customer")).alias("Customer"),
+        F.col("first_visit").alias("First Visit"), "Lifetime Invoices",
+        F.round(F.col("revenue"), 0).cast("double").alias("Lifetime Revenue"), "Last Visit")
 
 
 @at_day
-def cohort_roster(src: Sources, as_of: date, cohort_month: date, channel: str = "Both") -> DataFrame:
-    """Q22: lifetime stats of every customer of one cohort, from one
-    aggregation per customer over paid invoices."""
+def cohort_roster(src: Sources, as_of: date, cohort_month: date | None = None, channel: str = "Both", position: bool = False) -> DataFrame:
+    """Q22: lifetime stats of every customer of one cohort (none without a cohort), from one aggregation per customer over
+    paid invoices, by revenue, name and id (``position`` adds the place)."""
+    wanted = F.lit(False) if cohort_month is None else F.trunc("first_visit", "MM") == F.lit(month_start(cohort_month))
     per_customer = paid_invoices(src, channel).groupBy("customer").agg(
         F.min("posting_date").alias("first_visit"),
         F.count(F.lit(1)).alias("Lifetime Invoices"),
         F.sum("base_grand_total").alias("revenue"),
         F.max("posting_date").alias("Last Visit"),
-    ).filter(F.trunc("first_visit", "MM") == F.lit(month_start(cohort_month)))
-    return (
-        _with_names(per_customer, src)
-        .select(F.col("customer").alias("Customer ID"),
-                F.coalesce(F.col("customer_name"), F.col("customer")).alias("Customer"),
-                F.col("first_visit").alias("First Visit"), "Lifetime Invoices",
-                F.round(F.col("revenue"), 0).cast("double").alias("Lifetime Revenue"), "Last Visit")
-        .orderBy(F.col("Lifetime Revenue").desc(), F.col("Customer").asc())
-    )
+    ).filter(wanted)
+    return in_order(_roster_rows(per_customer, src), [F.desc("Lifetime Revenue"), F.asc("Customer"), F.asc("Customer ID")], position)
+
+
+# ------------------------------------------------------------ drill-through
 
 
 @at_day
-def cohort_drill(src: Sources, as_of: date, cohort: date, months_since: int | None = None,
-                 channel: str = "Both") -> DataFrame:
-    """Drill-through from the cohort matrix (Q20). A cell (cohort row,
-    month column) opens its customers (Q21); the cohort label opens the roster
-    of the whole cohort (Q22)."""
-    if months_since is None:
-        return cohort_roster(src, as_of, cohort, channel)
-    return cohort_cell_customers(src, as_of, channel, cohort, months_since)
+def write_cohort_cells(src: Sources, as_of: date, root: str, channel: str = "Both") -> str:
+    """Store what the cells of the cohort matrix (Q20) open: a row per customer and month, in a folder for each cohort.
+
+    One aggregation by customer and month; the first month is a window over a customer's own months. A cohort's rows are
+    dealt by month as well, so a large cohort is written by several tasks."""
+    own = Window.partitionBy("customer")
+    rows = paid_invoices(src, channel).groupBy("customer", F.trunc("posting_date", "MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("invoices"), F.sum("base_grand_total").alias("revenue"),
+        F.min("posting_date").alias("first_day"), F.max("posting_date").alias("last_day"))
+    rows = rows.withColumn("first_visit", F.min("first_day").over(own)).withColumn("cohort", F.trunc("first_visit", "MM"))
+    rows = rows.withColumn("months_since", month_index(F.col("month")) - month_index(F.col("cohort"))).drop("month")
+    rows.repartitionByRange("cohort", "months_since", "customer").write.mode("overwrite").partitionBy("cohort").parquet(root)
+    return root
+
+
+def cohort_drill(src: Sources, root: str, cohort: date, months_since: int | None = None, position: bool = False) -> DataFrame:
+    """Open the stored cells of one cohort, reading its folder only. A cell (cohort row, month column) opens its
+    customers (Q21), the cohort label the roster of the whole cohort (Q22)."""
+    cells = src.sales_invoice.sparkSession.read.parquet(root).filter(F.col("cohort") == F.lit(month_start(cohort)))
+    if months_since is not None:
+        cell = cells.filter(F.col("months_since") == months_since).select(
+            "customer", "first_visit", F.col("invoices").alias("Invoices"), "revenue",
+            F.col("first_day").alias("First Invoice This Period"), F.col("last_day").alias("Last Invoice This Period"))
+        return in_order(_cell_rows(cell, src), [F.desc("Revenue"), F.asc("Customer"), F.asc("Customer ID")], position)
+    roster = cells.groupBy("customer", "first_visit").agg(
+        F.sum("invoices").alias("Lifetime Invoices"), F.sum("revenue").alias("revenue"), F.max("last_day").alias("Last Visit"))
+    return in_order(_roster_rows(roster, src), [F.desc("Lifetime Revenue"), F.asc("Customer"), F.asc("Customer ID")], position)
+
+
+def stored_drill(src: Sources, as_of: date, cohort: date, months_since: int | None = None, channel: str = "Both") -> DataFrame:
+    """Write the cells of a day into the shared folder and open one from there."""
+    root = os.path.join(checkpoint_dir(src.sales_invoice.sparkSession), f"cohort_cells_{uuid.uuid4().hex}")
+    return cohort_drill(src, write_cohort_cells(src, as_of, root, channel), cohort, months_since)

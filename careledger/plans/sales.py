@@ -14,15 +14,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as cfg
-from ..functions.exprs import (channel2, inr, inr_sql, is_blank, is_grooming_group, is_store,
-                               money, safe_div, smart_qty)
-from ..functions.params import (add_months, between_opt, channel_pred, last_day, month_start, relative_range,
-                                where)
-from ..operators.allocation import GROSS, allocated_part, invoice_categories, invoice_summary
+from ..functions.exprs import channel2, inr, inr_sql, is_blank, is_store, money, safe_div
+from ..functions.params import add_months, channel_pred, last_day, month_start, relative_range
+from ..operators.allocation import GROSS, allocated_part, invoice_categories
 from ..operators.shaping import fill_spine, pivot_fixed
-from ..operators.sweep import rolling_distinct
+from ..operators.summary import invoice_totals
 from ..sources.calendar import spine, spine_grid, spine_numbered
-from ..sources.tables import at_day, invoices, items, Sources
+from ..sources.tables import at_day, invoices, Sources
 
 
 def _spark(src: Sources) -> SparkSession:
@@ -34,20 +32,18 @@ def days_elapsed(as_of: date) -> int:
     return max((as_of - timedelta(days=1) - month_start(as_of)).days + 1, 1)
 
 
-def _mtd_invoices(src: Sources, as_of: date) -> DataFrame:
-    return invoices(src).filter((F.col("posting_date") >= F.lit(month_start(as_of)))
-                                & (F.col("posting_date") < F.lit(as_of)))
+def _mtd(as_of: date) -> tuple[date, date]:
+    """First and last day of the month to date; the last is before the first on the first of a month."""
+    return month_start(as_of), as_of - timedelta(days=1)
 
 
-def _grooming_lines(src: Sources, inv: DataFrame, inv_cols: list[str]) -> DataFrame:
-    """Grooming/travel lines of the given invoices (no allocation needed)."""
-    it = items(src).filter(is_grooming_group())
-    return it.join(inv.select("name", *inv_cols), F.col("parent") == F.col("name"))
+def _mtd_invoices(src: Sources, as_of: date) -> DataFrame:
+    return invoices(src, *_mtd(as_of))
 
 
 # ---------------------------------------------------------------- Q01-Q03
 def _channel_daily(src: Sources, start_date: date | None, end_date: date | None) -> DataFrame:
-    inv = where(invoices(src), between_opt("posting_date", start_date, end_date))
+    inv = invoices(src, start_date, end_date)
     return inv.withColumn("channel", channel2(store_label=cfg.STORE_LABEL_LONG))
 
 
@@ -73,7 +69,7 @@ def channel_sales_wide(src: Sources, as_of: date, start_date: date | None = None
     g = F.col("base_grand_total")
     zero = F.lit(0)
     return (
-        where(invoices(src), between_opt("posting_date", start_date, end_date))
+        invoices(src, start_date, end_date)
         .groupBy("posting_date")
         .agg(money(F.sum(F.when(is_store(), g).otherwise(zero)), 2).alias("vennala_gross_sales"),
              money(F.sum(F.when(is_blank("pos_profile"), g).otherwise(zero)), 2).alias("truck_gross_sales"),
@@ -98,9 +94,9 @@ def channel_sales_stacked(src: Sources, as_of: date, start_date: date | None = N
 
 # ---------------------------------------------------------------- Q04
 @at_day
-def daily_sales_by_channel(src: Sources, as_of: date, date_filter: str | None = "past3months~") -> DataFrame:
-    """Q04: 401-day spine × 2 channels, zero-filled, then the date filter."""
-    start, end = as_of - timedelta(days=400), as_of
+def daily_sales_by_channel(src: Sources, as_of: date, date_filter: str | None = "past3months~", days: int = 401) -> DataFrame:
+    """Q04: spine of the last ``days`` days (the chart's 401) × 2 channels, zero-filled; the date filter chooses among them."""
+    start, end = as_of - timedelta(days=days - 1), as_of
     rng = relative_range(date_filter, as_of)
     if rng is not None:
         start, end = max(start, rng[0]), min(end, rng[1])
@@ -112,7 +108,7 @@ def daily_sales_by_channel(src: Sources, as_of: date, date_filter: str | None =
     if empty:
         grid = grid.filter(F.lit(False))
     daily = (
-        invoices(src).filter(F.col("posting_date").between(F.lit(start), F.lit(end)))
+        invoices(src, start, end)
         .withColumn("channel", channel2(store_label=cfg.STORE_LABEL_LONG))
         .groupBy(F.col("posting_date").alias("date"), "channel")
         .agg(money(F.sum("base_grand_total"), 2).alias("gross_sales"),
@@ -185,18 +181,12 @@ def mtd_revenue(src: Sources, as_of: date) -> DataFrame:
     return cats.agg(F.sum(GROSS).alias("total")).select(inr("total").alias("Value"))
 
 
-def _invoice_smart_qty(src: Sources, inv: DataFrame, keys: list[str]) -> DataFrame:
-    """A6 per invoice over grooming/travel lines; only invoices with smart qty > 0."""
-    lines = _grooming_lines(src, inv, [k for k in keys if k != "name"])
-    return lines.groupBy("name", *[k for k in keys if k != "name"]).agg(smart_qty().alias("smart_qty")) \
-        .filter(F.col("smart_qty") > 0)
-
-
 @at_day
 def mtd_groomings(src: Sources, as_of: date) -> DataFrame:
     """Q08: Σ smart grooming quantity month to date."""
-    per_invoice = _invoice_smart_qty(src, _mtd_invoices(src, as_of), ["name"])
-    return per_invoice.agg(F.round(F.coalesce(F.sum("smart_qty"), F.lit(0)), 0).cast("bigint").alias("Count"))
+    smart = F.col("smart_qty")
+    return invoice_totals(src, *_mtd(as_of)).agg(
+        F.round(F.coalesce(F.sum(F.when(smart > 0, smart)), F.lit(0)), 0).cast("bigint").alias("Count"))
 
 
 @at_day
@@ -211,8 +201,8 @@ CATEGORY_ORDER = [cfg.CATEGORY_GROOMING, cfg.CATEGORY_PRODUCT, "Total"]
 
 
 @at_day
-def mtd_revenue_by_channel_category(src: Sources, as_of: date) -> DataFrame:
-    """Q10: category × Store/Truck/Total, plus a total row over the rounded cells."""
+def mtd_revenue_by_channel_category(src: Sources, as_of: date, position: bool = False) -> DataFrame:
+    """Q10: category × Store/Truck/Total, plus a total row over the rounded cells; ``position`` adds the row's place."""
     cats = invoice_categories(src, month_start(as_of), as_of)
     g = F.col(GROSS)
     store = channel2() == cfg.STORE_LABEL
@@ -225,11 +215,12 @@ def mtd_revenue_by_channel_category(src: Sources, as_of: date) -> DataFrame:
     # Total row = sums of the already rounded cells (a rollup over ≤ 2 rows).
     rows = per_cat.rollup("Category").agg(*[F.sum(c).alias(c) for c in ("store_amt", "truck_amt", "total_amt")]) \
         .withColumn("Category", F.coalesce(F.col("Category"), F.lit("Total")))
-    return rows.select(
+    rows = rows.select(
         "Category", inr("store_amt").alias("Store"), inr("truck_amt").alias("Truck"),
         inr("total_amt").alias("Total"),
-        F.array_position(F.array(*[F.lit(c) for c in CATEGORY_ORDER]), F.col("Category")).alias("_ord"),
-    ).orderBy("_ord").drop("_ord")
+        F.array_position(F.array(*[F.lit(c) for c in CATEGORY_ORDER]), F.col("Category")).alias("Position"),
+    ).orderBy("Position")
+    return rows if position else rows.drop("Position")
 
 
 @at_day
@@ -240,17 +231,16 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
     (X5). ``numeric=True`` returns the unformatted doubles instead.
     """
     d = float(days_elapsed(as_of))
-    # One aggregation per invoice gives the smart grooming quantity and the
+    # One row per invoice gives the sales, the smart grooming quantity and the
     # grooming revenue; then per channel (≤ 2 rows).
-    per_invoice = invoice_summary(src, month_start(as_of), as_of).select(
-        channel2().alias("channel"), F.col("smart_qty").alias("sq"),
+    per_invoice = invoice_totals(src, *_mtd(as_of), without_lines=True).select(
+        channel2().alias("channel"), F.col("smart_qty").alias("sq"), "base_grand_total",
         F.when(F.col("grooming_lines") > 0, allocated_part("grooming_base")).alias("groom_rev"))
     per_channel = per_invoice.groupBy("channel").agg(
         F.sum(F.when(F.col("sq") > 0, F.col("sq"))).alias("g"),
         F.sum("groom_rev").alias("r"),
+        F.sum("base_grand_total").alias("mtd_sales"),
     )
-    sales = _mtd_invoices(src, as_of).groupBy(channel2().alias("channel")) \
-        .agg(F.sum("base_grand_total").alias("mtd_sales"))
 
     def cell(expr, channel):
         return F.coalesce(F.max(F.when(F.col("channel") == channel, expr)), F.lit(0))
@@ -262,9 +252,8 @@ def mtd_grooming_scorecard(src: Sources, as_of: date, numeric: bool = False) ->
 
     # Revenue per grooming only counts channels that have groomings (the
     # reference joins revenue onto the grooming rows).
-    # Both per-channel frames hold at most two rows; they meet on channel.
     has_g = F.col("g").isNotNull()
-    one = per_channel.join(sales, "channel", "full").agg(
+    one = per_channel.agg(
         *wide(F.col("g"), "g"), *wide(F.col("r"), "r"),
         *wide(F.coalesce(F.col("r"), F.lit(0)), "cr", has_g), *wide(F.col("g"), "cg", has_g),
         *wide(F.col("mtd_sales"), "s"))
@@ -347,7 +336,7 @@ def _days_counted(month: str, as_of: date):
 def _monthly_grooming_invoices(src: Sources, as_of: date) -> DataFrame:
     """Invoices before as_of with grooming lines: month, channel, allocated
     grooming revenue (allocation over the whole invoice) and smart quantity."""
-    return invoice_summary(src, None, as_of).filter(F.col("grooming_lines") > 0).select(
+    return invoice_totals(src, None, as_of - timedelta(days=1)).filter(F.col("grooming_lines") > 0).select(
         F.trunc("posting_date", "MM").alias("month"), channel2().alias("channel"),
         allocated_part("grooming_base").alias("rev"), "smart_qty")
 
@@ -392,32 +381,67 @@ def avg_daily_revenue_per_grooming(src: Sources, as_of: date) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q16
+def customer_days(src: Sources, lo: date, hi: date, channel: str = "Both") -> DataFrame:
+    """One row per customer and day with an invoice in lo..hi: the smart grooming quantity of that day."""
+    smart = F.col("smart_qty")
+    totals = invoice_totals(src, lo, hi, channel_pred(channel), without_lines=True)
+    return totals.groupBy("customer", "posting_date").agg(F.sum(F.when(smart > 0, smart)).alias("groomings"))
+
+
+def day_changes(days: DataFrame, width: int) -> DataFrame:
+    """What the visits of each day (``on``) change in the daily counts of active customers and groomings.
+
+    A visit makes its customer active for ``width`` days. One that comes while an earlier one lasts ends that on its own
+    day; ``prev`` is the earlier visit's day on those two rows, so they can be left out with it. The window sees one row
+    for each day of a customer, and a day has at most 2 * ``width`` rows here.
+    """
+    lasting = f"datediff(posting_date, prev) < {width}"
+    days = days.withColumn("prev", F.expr("lag(posting_date) OVER (PARTITION BY customer ORDER BY posting_date)"))
+    rows = days.selectExpr("posting_date AS on", f"""inline(array(
+        struct(posting_date AS day, 1 AS step, CAST(NULL AS DATE) AS prev, groomings AS groomings),
+        struct(date_add(posting_date, {width}) AS day, -1 AS step, CAST(NULL AS DATE) AS prev, NULL AS groomings),
+        struct(CASE WHEN {lasting} THEN posting_date END AS day, -1 AS step, prev AS prev, NULL AS groomings),
+        struct(CASE WHEN {lasting} THEN date_add(prev, {width}) END AS day, 1 AS step, prev AS prev, NULL AS groomings)))""")
+    return rows.filter("day IS NOT NULL").groupBy("on", "day", "prev").agg(F.sum("step").alias("step"), F.sum("groomings").alias("groomings"))
+
+
+def write_day_changes(src: Sources, root: str, lo: date, hi: date, channel: str = "Both") -> str:
+    """Store the ``day_changes`` of the visits in lo..hi, in a folder for each day; days stored before are replaced.
+
+    A day's changes need its visits and those of the window before it, so appending a day reads a month, not the year. An
+    invoice that comes late asks for its day and the 30 after it to be written again.
+    """
+    w = cfg.ROLLING_DAYS
+    days = customer_days(src.at(hi), lo - timedelta(days=w), hi, channel)
+    day_changes(days, w + 1).filter(F.col("on") >= F.lit(lo)).repartition("on") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("on").parquet(root)
+    return root
+
+
 @at_day
-def rolling_30d(src: Sources, as_of: date, channel: str = "Both",
-                date_filter: str | None = "past12months~") -> DataFrame:
-    """Q16: active customers and groomings over the inclusive window [d-30, d]
-    for each day of the past year."""
-    spark = _spark(src)
-    start, end = add_months(as_of, -12), as_of
+def rolling_30d(src: Sources, as_of: date, channel: str = "Both", date_filter: str | None = "past12months~", months: int = 12,
+                stored: str | None = None) -> DataFrame:
+    """Q16: active customers and groomings over the inclusive window [d-30, d] for each day of the last ``months`` months
+    (the chart's year); the date filter chooses among these days.
+
+    One pass over the invoice summary: customer days, what they change by day, then two running windows over the day spine.
+    With ``stored`` the changes are read from there (``write_day_changes`` of the same channel), and no invoice is.
+    """
     w = cfg.ROLLING_DAYS
-    inv = where(invoices(src), channel_pred(channel)).filter(
-        (F.col("posting_date") >= F.lit(start - timedelta(days=w))) & (F.col("posting_date") <= F.lit(end)))
-    active = rolling_distinct(spark, inv, "customer", "posting_date", start, end, w,
-                              date_col="Date", out="Active Customers (30D)")
-    # Daily groomings (smart qty per invoice; only grooming lines can make it
-    # positive, so the item-group filter is pushed into the items scan), then
-    # a 31-row running window over the gap-free day spine.
-    per_invoice = _invoice_smart_qty(src, inv, ["name", "posting_date"])
-    daily = per_invoice.groupBy(F.col("posting_date").alias("Date")).agg(F.sum("smart_qty").alias("g"))
-    days = spine(spark, start - timedelta(days=w), end, "Date")
-    rw = Window.orderBy("Date").rowsBetween(-w, 0)
-    groom = (
-        daily.join(F.broadcast(days), "Date", "right")
-        .select("Date", F.sum(F.coalesce(F.col("g"), F.lit(0))).over(rw).alias("g30"))
-        .filter(F.col("Date") >= F.lit(start))
-    )
-    out = active.join(groom, "Date").select(
-        "Date", "Active Customers (30D)", F.col("g30").cast("double").alias("Groomings (30D)"))
+    start, end = add_months(as_of, -months), as_of
+    first = start - timedelta(days=w)
+    if stored is None:
+        changes = day_changes(customer_days(src, first, end, channel), w + 1)
+    else:
+        changes = _spark(src).read.parquet(stored).filter(F.col("on").between(F.lit(first), F.lit(end)))
+        changes = changes.filter(F.col("prev").isNull() | (F.col("prev") >= F.lit(first)))
+    steps = changes.filter(F.col("day") <= F.lit(end)).groupBy("day").agg(F.sum("step").alias("step"), F.sum("groomings").alias("groomings"))
+    so_far = Window.orderBy("Date").rowsBetween(Window.unboundedPreceding, 0)
+    recent = Window.orderBy("Date").rowsBetween(-w, 0)
+    out = spine(_spark(src), first, end, "Date").join(F.broadcast(steps), F.col("day") == F.col("Date"), "left").select(  # a row a day at most
+        "Date", F.sum(F.coalesce("step", F.lit(0))).over(so_far).cast("bigint").alias("Active Customers (30D)"),
+        F.sum(F.coalesce("groomings", F.lit(0))).over(recent).cast("double").alias("Groomings (30D)"),
+    ).filter(F.col("Date") >= F.lit(start))
     rng = relative_range(date_filter, as_of)
     if rng is not None:
         out = out.filter(F.col("Date").between(F.lit(rng[0]), F.lit(rng[1])))

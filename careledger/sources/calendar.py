@@ -38,7 +38,3 @@ def spine_grid(spark: SparkSession, start: date, end: date, rows: list[tuple], c
     return spine(spark, start, end, name).select(name, F.explode(F.array(*structs)).alias("_d")) \
         .select(name, *[F.col(f"_d.{c}").alias(c) for c in columns])
 
-
-def lit_table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
-    """Small constant relation (channels, segments, offsets)."""
-    return spark.createDataFrame(rows, columns)

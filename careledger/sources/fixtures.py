@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_AS_OF
 from .agents import agents_frame, load_agents
-from .tables import Sources
+from .tables import MONTH, Sources
 
 # --- Fixed values of the fixture mapping (FIXTURES.md §2) ---
 EVENT_DAY_SHIFT = 8229  # moves 2024-01-01..30 to 2001-06-21..07-20
@@ -60,7 +60,7 @@ def _base_amount() -> Column:
 def sales_invoice_item(spark: SparkSession, sf_dir: str, as_of: date) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
                                                   "l_extendedprice", "l_discount")
-    o = _orders(spark, sf_dir, as_of).select("o_orderkey", "o_custkey")
+    o = _orders(spark, sf_dir, as_of).select("o_orderkey", "o_custkey", "o_orderdate")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
     ck = F.col("o_custkey")
     ptype = F.col("p_type")
@@ -85,6 +85,7 @@ def sales_invoice_item(spark: SparkSession, sf_dir: str, as_of: date) -> DataFra
             item_group.alias("item_group"),
             F.col("l_quantity").cast("decimal(18,2)").alias("qty"),
             _base_amount().alias("base_amount"),
+            F.trunc(F.to_date("o_orderdate"), "MM").alias(MONTH),
         )
     )
 

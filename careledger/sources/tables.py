@@ -9,6 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import config as cfg
 from .agents import agent_emails, agent_phones, agents_frame, agents_of, load_agents
 
 TABLES = ("sales_invoice", "sales_invoice_item", "customer", "customer_follow_up", "call_log")
@@ -30,6 +31,7 @@ class Sources:
     agents: DataFrame
     agent_list: list[dict]
     as_of: date | None = None  # the accessors below hide what is dated later
+    summary: DataFrame | None = None  # a stored ``operators.summary.invoice_totals``, used in place of the items
 
     def at(self, as_of: date) -> Sources:
         return self if self.as_of is not None and self.as_of <= as_of else replace(self, as_of=as_of)
@@ -59,20 +61,40 @@ def read_tables(spark, root: str, agents: DataFrame | None = None, agent_list: l
     return Sources(**frames, **_agents(spark, agents, agent_list))
 
 
-def write_tables(src: Sources, root: str) -> None:
-    """Materialise the tables (e.g. the fixture adapter's output) once.
+#: Derived when the tables are written, and optional in ``Sources``: the first of the month an invoice (of an item: its
+#: invoice) was posted in, and whether an invoice has a grooming line.
+MONTH, GROOMED = "posting_month", "has_grooming_line"
 
-    Invoices are clustered by posting date so date ranges prune row groups;
-    items and follow-ups by their join keys.
+
+def derived(src: Sources) -> tuple[DataFrame, DataFrame]:
+    """Invoices with MONTH and GROOMED, items with MONTH. An item without its invoice keeps a null month."""
+    month = F.trunc("posting_date", "MM")
+    groomed = src.sales_invoice_item.filter(F.col("item_group").isin(list(cfg.GROOMING_GROUPS))) \
+        .groupBy(F.col("parent").alias("_parent")).agg(F.lit(True).alias(GROOMED))
+    inv = src.sales_invoice.drop(MONTH, GROOMED).withColumn(MONTH, month)
+    inv = inv.join(groomed, F.col("name") == F.col("_parent"), "left").drop("_parent").withColumn(GROOMED, F.coalesce(GROOMED, F.lit(False)))
+    lines = src.sales_invoice_item
+    if MONTH not in lines.columns:
+        lines = lines.join(src.sales_invoice.select(F.col("name").alias("_name"), month.alias(MONTH)), F.col("parent") == F.col("_name"), "left").drop("_name")
+    return inv, lines
+
+
+def write_tables(src: Sources, root: str, mode: str = "overwrite") -> None:
+    """Materialise the tables (e.g. the fixture adapter's output), or append rows to them.
+
+    Invoices and items lie in a folder for each posting month, so a date range opens the same months of both; invoices
+    are sorted by date in it, items by invoice. Both are dealt by ranges that begin with the month: a month is written by
+    as many tasks as its rows ask for, and a task writes few months. Follow-ups are clustered by customer.
     """
-    src.sales_invoice.repartitionByRange("posting_date").sortWithinPartitions("posting_date") \
-        .write.mode("overwrite").parquet(f"{root}/sales_invoice")
-    src.sales_invoice_item.repartition("parent").sortWithinPartitions("parent") \
-        .write.mode("overwrite").parquet(f"{root}/sales_invoice_item")
-    src.customer.write.mode("overwrite").parquet(f"{root}/customer")
+    inv, lines = derived(src)
+    inv.repartitionByRange(MONTH, "posting_date", "name").sortWithinPartitions(MONTH, "posting_date") \
+        .write.mode(mode).partitionBy(MONTH).parquet(f"{root}/sales_invoice")
+    lines.repartitionByRange(MONTH, "parent").sortWithinPartitions(MONTH, "parent") \
+        .write.mode(mode).partitionBy(MONTH).parquet(f"{root}/sales_invoice_item")
+    src.customer.write.mode(mode).parquet(f"{root}/customer")
     src.customer_follow_up.repartition("customer").sortWithinPartitions("customer", "creation") \
-        .write.mode("overwrite").parquet(f"{root}/customer_follow_up")
-    src.call_log.write.mode("overwrite").parquet(f"{root}/call_log")
+        .write.mode(mode).parquet(f"{root}/customer_follow_up")
+    src.call_log.write.mode(mode).parquet(f"{root}/call_log")
 
 
 BUCKET_KEYS = {"sales_invoice": "name", "sales_invoice_item": "parent", "customer_follow_up": "customer",
@@ -113,15 +135,38 @@ def _until(df: DataFrame, time: str, as_of: date | None) -> DataFrame:
     return df if as_of is None else df.filter(F.col(time) < F.lit(as_of + timedelta(days=1)).cast("timestamp_ntz"))
 
 
-# Submitted invoices up to as_of; both predicates reach the parquet scan.
-def invoices(src: Sources) -> DataFrame:
-    out = src.sales_invoice.filter(F.col("docstatus") == 1)
-    return out if src.as_of is None else out.filter(F.col("posting_date") <= F.lit(src.as_of))
+def _earlier(a: date | None, b: date | None) -> date | None:
+    return min(x for x in (a, b) if x is not None) if a is not None or b is not None else None
+
+
+def _of_months(df: DataFrame, lo: date | None, hi: date | None) -> DataFrame:
+    """The months of the days lo..hi, where the table is laid out by month (these predicates prune its folders)."""
+    if MONTH in df.columns:
+        if lo is not None:
+            df = df.filter(F.col(MONTH) >= F.lit(lo.replace(day=1)))
+        if hi is not None:
+            df = df.filter(F.col(MONTH) <= F.lit(hi.replace(day=1)))
+    return df
+
+
+def posted(df: DataFrame, lo: date | None, hi: date | None) -> DataFrame:
+    """Rows with posting_date in lo..hi (None: open)."""
+    if lo is not None:
+        df = df.filter(F.col("posting_date") >= F.lit(lo))
+    if hi is not None:
+        df = df.filter(F.col("posting_date") <= F.lit(hi))
+    return _of_months(df, lo, hi)
+
+
+# Submitted invoices posted in lo..hi, none after as_of; all predicates reach the parquet scan.
+def invoices(src: Sources, lo: date | None = None, hi: date | None = None) -> DataFrame:
+    return posted(src.sales_invoice.filter(F.col("docstatus") == 1), lo, _earlier(hi, src.as_of))
 
 
-# S2
-def items(src: Sources) -> DataFrame:
-    return src.sales_invoice_item.select("parent", "item_code", "item_group", "qty", "base_amount")
+# Items; of invoices posted in lo..hi at least, where the table is laid out by posting month.
+def items(src: Sources, lo: date | None = None, hi: date | None = None) -> DataFrame:
+    out = _of_months(src.sales_invoice_item, lo, _earlier(hi, src.as_of))
+    return out.select("parent", "item_code", "item_group", "qty", "base_amount")
 
 
 # S3

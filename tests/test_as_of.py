@@ -13,7 +13,7 @@ from careledger.plans import registry
 from careledger.session import checkpoint_dir
 from careledger.sources.agents import agents_frame, load_agents
 from careledger.sources.tables import TABLES, read_tables, write_bucketed, write_tables
-from careledger.streaming.publish import publish
+from careledger.streaming.publish import publish, read_published
 
 EARLIER = date(2001, 1, 15)
 
@@ -60,7 +60,7 @@ def test_publishing_an_empty_result_empties_its_day(spark):
     publish(df, "t", date(2001, 7, 19), root)
     publish(df, "t", date(2001, 7, 20), root)
     publish(df.where("x > 5"), "t", date(2001, 7, 20), root)
-    assert sorted((str(r["as_of"]), r["x"]) for r in spark.read.parquet(f"{root}/t").collect()) == [("2001-07-19", 1), ("2001-07-19", 2)]
+    assert sorted((str(r["as_of"]), r["x"]) for r in read_published(spark, f"{root}/t").collect()) == [("2001-07-19", 1), ("2001-07-19", 2)]
 
 
 def test_checkpoint_folder_must_be_set_off_a_local_master():
