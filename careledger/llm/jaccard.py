@@ -3,18 +3,21 @@
 Rows of the matrix are classes of equal shingle sets, columns are 5-word shingles.
 Only the entries that a size-derived bound leaves are multiplied:
 
-* the columns have one order for all rows (frequent columns last, then by hash), and a
-  row of n entries with similarity t needs its first ``n - ceil(t n) + 1`` only;
-* columns are dealt in blocks by hash; a block first multiplies each column's entries
-  with one of them, that of the smallest id;
-* pairs found that way are dropped where the sizes, or the parity sketches of both rows
-  (the number of differing bits never exceeds the number of differing shingles), rule
-  the threshold out; the overlap of the others is counted on their whole sets;
-* rows so linked need no further product: the columns that still hold several components
-  are then multiplied in square blocks, between different components only, under the
-  same bounds.
-
-No pair at or above the threshold is lost, and no column or row is capped.
+* the columns have one order for all rows, rarest first, and a row of n entries with similarity t needs its first
+  ``n - ceil(t n) + 1`` only. Counts are taken over all columns: every window of texts sends the leading bits of its
+  shingles, packed to about two bytes each, to the task that counts their range; the columns counted most often
+  (``LISTED`` at most) go to all tasks with their count's class. While that list has every column counted twice, the
+  others stand in one row and are not multiplied at all;
+* columns are dealt in blocks by hash; a block first multiplies each column's entries with one of them, the hub;
+* pairs found that way are dropped where the sizes, the places of the column in both rows, or the parity sketches of
+  both rows (the number of differing bits never exceeds the number of differing shingles) rule the threshold out; the
+  overlap of the others is counted on their whole sets;
+* rows so linked need no further product: the columns that still hold several components are multiplied in square
+  blocks, between different components only. The products of a pair are accumulated over all blocks: columns shared
+  and the last places in both rows, and a pair goes where these and what may follow cannot reach the threshold.
+
+No pair at or above the threshold is lost, and no column or row is capped. Beyond ``LISTED`` columns the order knows
+only the more frequent ones, which changes the cost, not the result.
 """
 
 from __future__ import annotations
@@ -28,14 +31,16 @@ from . import common as c
 
 #: Rows of a square block of a column.
 SQUARE = 2048
-#: Frequent columns kept for the column order (8 bytes each); which ones are kept changes the cost only.
-FREQUENT_MAX, FREQUENT_AT, WINDOW = 500_000, 24, 1 << 20
-#: Buckets of document ids whose sets are fetched (a bitmap of 128 KB).
+#: Columns in the list of counted ones (9 bytes each, sent to every task), shingles of a counting window.
+LISTED, WINDOW = 2_000_000, 4 << 20
+#: Classes of counts: a column's class is the last of these that its count reaches.
+CLASSES = np.array([2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 256, 1024, 65536])
+#: Buckets of document ids whose sets are fetched (a bitmap of 1 MB).
 ID_BUCKETS = 1 << 20
-#: 64-bit words of the sketch that goes with each entry; a row's own has two bits for each shingle or more.
+#: 64-bit words of the smallest sketch; a row's has two bits for each shingle or more.
 SKETCH = 8
-#: Smallest columns of a row that tell a block whether another one has met a pair.
-OWN = 4
+#: Pairs with one row before that row's set is sent to several tasks.
+PAIRS_EACH = 256
 
 
 def _sketch(h: np.ndarray) -> np.ndarray:
@@ -46,12 +51,6 @@ def _sketch(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _folded(sketch):
-    """The first SKETCH words of a sketch of any length, as a column."""
-    return F.expr(f"""transform(sequence(0, {SKETCH - 1}), i -> aggregate(sequence(0, int(size({sketch}) / {SKETCH}) - 1), 0L,
-                      (s, j) -> s ^ {sketch}[j * {SKETCH} + i]))""")
-
-
 def _apart(a, b):
     """Differing bits of two sketches, the longer folded once if need be (twice as long rules a link out)."""
 
@@ -67,14 +66,30 @@ def _digest(h: np.ndarray) -> int:
     return int(c.mix(h ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64) ^ np.uint64(len(h))) >> 1
 
 
-def _describe(k):
-    schema = pa.schema([("kind", pa.int8()), ("id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+def _layout(shingles: int) -> tuple[int, int]:
+    """(leading bits by which columns are counted, of which the first name the counting task's range)."""
+    bits = min(48, max(24, shingles.bit_length() + 5))
+    return bits, min(bits - 16, max(0, (shingles // WINDOW).bit_length()))
+
+
+def _describe(k, bits, range_bits):
+    schema = pa.schema([("kind", pa.int8()), ("id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("sketch", pa.list_(pa.int64())),
+                        ("bins", pa.binary()), ("low", pa.binary())])
+    inner = bits - 16 - range_bits
 
     def counted(seen):
-        s, m = np.unique(np.concatenate(seen), return_counts=True)
-        s, m = s[m > 1], m[m > 1]
-        return pa.record_batch([pa.array(np.ones(len(s), np.int8)), pa.nulls(len(s), pa.int64()), pa.array(m.astype(np.int32)),
-                                pa.array(s.view(np.int64)), pa.nulls(len(s), pa.list_(pa.int64()))], schema=schema)
+        """A window's shingles by range: how many there are in each bin of their leading bits, and the 16 bits behind."""
+        key = np.sort(np.concatenate(seen) >> np.uint64(64 - bits))
+        of = (key >> np.uint64(bits - range_bits)).astype(np.int64)
+        at = np.unique(of, return_index=True)[1]
+        end = np.append(at[1:], len(key))
+        mid = ((key >> np.uint64(16)) & np.uint64((1 << inner) - 1)).astype(np.int64)
+        low = (key & np.uint64(0xFFFF)).astype(np.uint16)
+        m = len(at)
+        return pa.record_batch([pa.array(np.ones(m, np.int8)), pa.nulls(m, pa.int64()), pa.array(of[at].astype(np.int32)), pa.nulls(m, pa.int64()),
+                                pa.nulls(m, pa.list_(pa.int64())),
+                                pa.array([np.bincount(mid[i:j], minlength=1 << inner).astype(np.uint32).tobytes() for i, j in zip(at, end, strict=True)], pa.binary()),
+                                pa.array([low[i:j].tobytes() for i, j in zip(at, end, strict=True)], pa.binary())], schema=schema)
 
     def run(batches):
         c.forget()
@@ -94,54 +109,123 @@ def _describe(k):
                     if held >= WINDOW:
                         yield counted(seen)
                         seen, held, nodes = [], 0, set()
-            yield pa.record_batch([pa.array(np.zeros(len(n), np.int8)), ids, pa.array(n, pa.int32()), pa.array(node, pa.int64()),
-                                   pa.array(sk, pa.list_(pa.int64()))], schema=schema)
+            m = len(n)
+            yield pa.record_batch([pa.array(np.zeros(m, np.int8)), ids, pa.array(n, pa.int32()), pa.array(node, pa.int64()),
+                                   pa.array(sk, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], schema=schema)
         if seen:
             yield counted(seen)
 
-    return run, "kind tinyint, id long, n int, node long, sketch array<long>"
+    return run, "kind tinyint, id long, n int, node long, sketch array<long>, bins binary, low binary"
 
 
-def _entries(k, frequent, num, den):
-    """Entries of each row within its bound: (column, row, its size, its document)."""
+def _count_ranges(bits, range_bits):
+    """(class of the count, number of columns, their leading bits) of each range; the rows of a range come together."""
+    inner = bits - 16 - range_bits
 
-    def rows_of(col, node, size, doc, per):
+    def tallied(at, parts):
+        keys, m = np.unique(np.concatenate(parts), return_counts=True)
+        keys, m = keys[m > 1] | np.uint64(at << (bits - range_bits)), m[m > 1]
+        grade = np.searchsorted(CLASSES, m, side="right") - 1
+        have = np.unique(grade)
+        return pa.record_batch([pa.array(have, pa.int32()), pa.array([int((grade == g).sum()) for g in have], pa.int64()),
+                                pa.array([keys[grade == g].tobytes() for g in have], pa.binary())], names=["grade", "columns", "keys"])
+
+    def run(batches):
+        now, parts = None, []
+        for b in batches:
+            for at, bins, low in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if at != now and parts:
+                    yield tallied(now, parts)
+                    parts = []
+                now = at
+                mid = np.repeat(np.arange(1 << inner, dtype=np.uint64), np.frombuffer(bins, np.uint32))
+                parts.append((mid << np.uint64(16)) | np.frombuffer(low, np.uint16).astype(np.uint64))
+        if parts:
+            yield tallied(now, parts)
+
+    return run, "grade int, columns long, keys binary"
+
+
+class _Order:
+    """The list of counted columns: sorted leading bits, their classes, and whether it has all columns counted twice."""
+
+    def __init__(self, bits, keys, grade, whole):
+        o = np.argsort(keys, kind="stable")
+        self.shift, self.keys, self.grade, self.whole = np.uint64(64 - bits), keys[o], grade[o], whole
+
+    def sorted(self, h: np.ndarray) -> tuple[np.ndarray, int]:
+        """(the columns of a row, rarest first, how many of them are not listed)."""
+        if not len(self.keys):
+            return h, len(h)
+        key = h >> self.shift
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        grade = np.where(self.keys[at] == key, self.grade[at] + np.uint8(1), np.uint8(0))
+        return h[np.argsort(grade, kind="stable")], int((grade == 0).sum())
+
+
+def _counted_order(spark, seen, bits, range_bits) -> _Order:
+    """The columns counted most often, whole classes of counts from the top, LISTED columns at most."""
+    fn, schema = _count_ranges(bits, range_bits)
+    ranges = seen.where("kind = 1").select("n", "bins", "low").repartition(max(1 << range_bits, 1), "n").sortWithinPartitions("n")
+    tallies = c.stored(ranges.mapInArrow(fn, schema), "counts")
+    by_grade = {r["grade"]: r["m"] for r in tallies.groupBy("grade").agg(F.sum("columns").alias("m")).collect()}  # a row a class
+    room, grades = LISTED, []
+    for g in sorted(by_grade, reverse=True):
+        if by_grade[g] > room:
+            break
+        room -= by_grade[g]
+        grades.append(g)
+    rows = tallies.where(F.col("grade").isin(grades)).select("grade", "keys").toArrow() if grades else None  # LISTED keys at most
+    c.drop_stored(tallies)
+    parts = [np.frombuffer(k, np.uint64) for k in rows.column(1).to_pylist()] if rows else []
+    keys = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    grade = np.repeat(rows.column(0).to_numpy().astype(np.uint8), [len(p) for p in parts]) if parts else np.zeros(0, np.uint8)
+    return _Order(bits, keys, grade, len(grades) == len(by_grade))
+
+
+def _entries(k, order, num, den):
+    """Entries of each row within its bound: (column, row, its size, the column's place in it). Equal rows of a task once."""
+
+    def rows_of(col, node, size, place, per):
         return pa.record_batch([pa.array(np.concatenate(col).view(np.int64)), pa.array(np.repeat(np.array(node, np.int64), per)),
-                                pa.array(np.repeat(np.array(size, np.int32), per)), pa.array(np.repeat(np.array(doc, np.int64), per))],
-                               names=["col", "node", "n", "id"])
+                                pa.array(np.repeat(np.array(size, np.int32), per)), pa.array(np.concatenate(place))], names=["col", "node", "n", "place"])
 
     def run(batches):
         c.forget()
-        often = frequent.value
+        o = order.value
+        met: set[int] = set()
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
             ok = ~np.asarray(b.column(0).is_null())
-            col, node, size, doc, per, held = [], [], [], [], [], 0
+            col, node, size, place, per, held = [], [], [], [], [], 0
             for i, h in c.shingle_sets(c.texts_of(b.column(1)), k):
                 n = len(h)
                 if not n or not ok[i]:
                     continue
+                d = _digest(h)
+                if d in met:
+                    continue
+                if len(met) > 1_000_000:
+                    met.clear()
+                met.add(d)
                 if held > 200_000:
-                    yield rows_of(col, node, size, doc, per)
-                    col, node, size, doc, per, held = [], [], [], [], [], 0
-                if len(often):
-                    at = np.searchsorted(often, h)
-                    at[at == len(often)] = 0
-                    late = often[at] == h
-                    h2 = np.concatenate([h[~late], h[late]])
-                else:
-                    h2 = h
+                    yield rows_of(col, node, size, place, per)
+                    col, node, size, place, per, held = [], [], [], [], [], 0
                 p = n - -(-num * n // den) + 1
-                col.append(h2[:p])
-                per.append(p)
-                held += p
-                node.append(_digest(h))
+                h, alone = o.sorted(h)
+                first = min(p, alone) if o.whole else 0
+                if first == p:
+                    continue
+                col.append(h[first:p])
+                place.append(np.arange(first, p, dtype=np.int32))
+                per.append(p - first)
+                held += p - first
+                node.append(d)
                 size.append(n)
-                doc.append(int(ids[i]))
             if per:
-                yield rows_of(col, node, size, doc, per)
+                yield rows_of(col, node, size, place, per)
 
-    return run, "col long, node long, n int, id long"
+    return run, "col long, node long, n int, place int"
 
 
 def _sets(k, bitmap, whole):
@@ -173,38 +257,53 @@ def _unique_pairs(lo, hi):
     return lo[new], hi[new]
 
 
+def _reachable(n, place, m, other, num, den):
+    """Whether rows of n and m entries that share a column at these places can reach the threshold: as many columns before
+    it as the smaller place, as many behind as the shorter rest."""
+    n, m, place, other = (np.asarray(x).astype(np.int64) for x in (n, m, place, other))
+    most = np.minimum(place, other) + 1 + np.minimum(n - place, m - other) - 1
+    return (den * np.minimum(n, m) >= num * np.maximum(n, m)) & ((den + num) * most >= num * (n + m))
+
+
 def _first_products(num, den):
-    schema = pa.schema([("kind", pa.int8()), ("x", pa.int64()), ("y", pa.int64())])
+    schema = pa.schema([("kind", pa.int8()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
 
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if not got:
             return
         t = pa.Table.from_batches(got)
-        col, node, n, doc = (t.column(i).to_numpy() for i in range(4))
-        o = np.lexsort((doc, node, col))
-        col, node, n, doc = col[o], node[o], n[o], doc[o]
+        col, node, n, place = (t.column(i).to_numpy() for i in range(4))
+        o = np.lexsort((node, col))
+        col, node, n, place = col[o], node[o], n[o], place[o]
         new = np.ones(len(col), bool)
         new[1:] = (col[1:] != col[:-1]) | (node[1:] != node[:-1])
-        col, node, n, doc = col[new], node[new], n[new], doc[new]
-        o = np.lexsort((doc, col))
-        col, node, n = col[o], node[o], n[o].astype(np.int64)
+        col, node, n, place = col[new], node[new], n[new], place[new]
         first = np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1]]))
         length = np.diff(np.append(first, len(col)))
         hub = np.repeat(first, length)
         shared = np.repeat(length > 1, length)
-        yield pa.record_batch([pa.array(np.ones(shared.sum(), np.int8)), pa.array(col[shared]), pa.array(node[shared])], schema=schema)
+        yield pa.record_batch([pa.array(np.ones(shared.sum(), np.int8)), pa.array(col[shared]), pa.array(node[shared]), pa.array(n[shared]),
+                               pa.array(place[shared])], schema=schema)
         b = np.flatnonzero(hub != np.arange(len(col)))
         a = hub[b]
-        ok = den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])
+        ok = _reachable(n[a], place[a], n[b], place[b], num, den)
         x, y = _unique_pairs(node[b[ok]], node[a[ok]])
-        yield pa.record_batch([pa.array(np.zeros(len(x), np.int8)), pa.array(x), pa.array(y)], schema=schema)
+        yield pa.record_batch([pa.array(np.zeros(len(x), np.int8)), pa.array(x), pa.array(y), pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.int32())], schema=schema)
 
-    return run, "kind tinyint, x long, y long"
+    return run, "kind tinyint, x long, y long, n int, place int"
 
 
 def _square_products(num, den):
-    """Square blocks of columns: pairs of different components that the bounds leave."""
+    """Square blocks of columns: the products of pairs of different components that the bounds leave, summed over the
+    blocks of a task: columns shared, and the last place of a shared column in either row."""
+
+    def summed(out):
+        x, y, px, py, m = (np.concatenate(v) for v in zip(*out, strict=True))
+        o = np.lexsort((y, x))
+        x, y, px, py, m = x[o], y[o], px[o], py[o], m[o]
+        first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+        return [(x[first], y[first], np.maximum.reduceat(px, first), np.maximum.reduceat(py, first), np.add.reduceat(m, first))]
 
     def run(batches):
         got = [b for b in batches if b.num_rows]
@@ -214,38 +313,33 @@ def _square_products(num, den):
         key = np.stack([t.column(i).to_numpy().astype(np.int64) for i in range(3)])
         o = np.lexsort(key[::-1])
         key = key[:, o]
-        node, comp, n, side = (t.column(i).to_numpy()[o] for i in (3, 4, 5, 6))
-        sk = t.column(7).combine_chunks().flatten().to_numpy().reshape(-1, SKETCH)[o].view(np.uint64)
-        own = t.column(8).combine_chunks().flatten().to_numpy().reshape(-1, OWN)[o]
+        node, comp, n, place, side = (t.column(i).to_numpy()[o] for i in range(3, 8))
+        n, place = n.astype(np.int64), place.astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
-        out = []
+        out, held = [], 0
         for f, e in zip(first, np.append(first[1:], len(node)), strict=True):
             rows = np.arange(f, e)
-            if key[1, f] == key[2, f]:
-                left = right = rows[side[rows] == 0]
-            else:
-                left, right = rows[side[rows] == 0], rows[side[rows] == 1]
+            same = key[1, f] == key[2, f]
+            left = rows[side[rows] == 0]
+            right = left if same else rows[side[rows] == 1]
             for i in left:
-                r = right[right > i] if left is right else right
-                s = n[r].astype(np.int64) + int(n[i])
-                small = np.minimum(n[r], n[i]).astype(np.int64)
-                r = r[(comp[r] != comp[i]) & (den * small >= num * (s - small))]
+                r = right[right > i] if same else right
+                r = r[(comp[r] != comp[i]) & _reachable(n[r], place[r], n[i], place[i], num, den)]
                 if len(r):
-                    s = n[r].astype(np.int64) + int(n[i])
-                    apart = np.bitwise_count(sk[r] ^ sk[i]).sum(1, dtype=np.int64)
-                    r = r[apart * (den + num) <= (den - num) * s]
-                    # both are in a smaller column too, whose block has the pair
-                    mine = own[i][own[i] < key[0, i]]
-                    if len(mine) and len(r):
-                        r = r[~np.isin(own[r], mine).any(1)]
-                    if len(r):
-                        out.append((np.full(len(r), node[i]), node[r]))
+                    big = node[r] > node[i]
+                    out.append((np.maximum(node[r], node[i]), np.minimum(node[r], node[i]), np.where(big, place[r], place[i]),
+                                np.where(big, place[i], place[r]), np.ones(len(r), np.int64)))
+                    held += len(r)
+                    if held > 1_000_000:
+                        out = summed(out)
+                        if len(out[0][0]) > 500_000:
+                            yield pa.record_batch([pa.array(v) for v in out[0]], names=["x", "y", "px", "py", "shared"])
+                            out = []
+                        held = len(out[0][0]) if out else 0
         if out:
-            x, y = np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
-            x, y = _unique_pairs(np.maximum(x, y), np.minimum(x, y))
-            yield pa.record_batch([pa.array(x), pa.array(y)], names=["x", "y"])
+            yield pa.record_batch([pa.array(v) for v in summed(out)[0]], names=["x", "y", "px", "py", "shared"])
 
-    return run, "x long, y long"
+    return run, "x long, y long, px long, py long, shared long"
 
 
 def _verified(rows, pairs, classes, k, num, den, whole):
@@ -274,36 +368,42 @@ def _verified(rows, pairs, classes, k, num, den, whole):
     left = sets.join(sizes, "node").select(F.col("node").alias("x"), F.col("hashes").alias("hx"), F.col("n").alias("nx"))
     right = sets.join(pairs.select(F.col("y").alias("node")).distinct(), "node").join(sizes, "node")
     right = right.select(F.col("node").alias("y"), F.col("hashes").alias("hy"), F.col("n").alias("ny"))
-    both = pairs.select("x", "y").join(left, "x").join(right, "y").withColumn("over", F.size(F.array_intersect("hx", "hy")))
+    # a row with many pairs meets them in several tasks
+    many = pairs.groupBy("y").agg(F.ceil(F.count("*") / PAIRS_EACH).cast("int").alias("parts"))
+    right = right.join(many, "y").select("y", "hy", "ny", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dealt = pairs.select("x", "y").join(many, "y").select("x", "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"))
+    both = dealt.join(left, "x").join(right, ["y", "part"]).withColumn("over", F.size(F.array_intersect("hx", "hy")))
     doubt = F.lit(0) if whole else 3 + F.ceil(F.col("nx").cast("double") * F.col("ny") * 10 / 2.0**32).cast("int")
     reach = lambda over: (den + num) * over >= num * (F.col("nx") + F.col("ny"))
     out = c.stored(both.where(reach(F.col("over") + doubt)).select("x", "y", reach(F.col("over") - doubt).alias("linked")), "links")
     c.drop_stored(sets)
+    c.drop_stored(reps)
     return out
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """One row (doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text; other columns are ignored).
+    """One row (doc_id, n_shingles, component_id, node) per row of ``docs`` (doc_id, text; other columns are ignored).
 
     Two rows link when ``den * |A and B| >= num * |A or B|`` over their distinct k-word shingles
     (A-Z lower-cased, fewer than k words: one shingle); component_id is the smallest doc_id reachable.
     Null or empty text: 0 shingles, linked with nothing, its own component. Rows of a null doc_id are
     counted, not linked, and have a null component. Repeated ids are separate rows; rows of equal
-    sets are one component. An empty table gives no rows.
+    sets are one component. An empty table gives no rows. ``node`` is a digest of the row's set, null for an empty one.
     """
     rows = c.columns_of(docs, {"doc_id": "long", "text": "string"})
     spark = rows.sparkSession
-    fn, schema = _describe(k)
+    c.workers_import(spark)
+    letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits, range_bits = _layout(letters // 6)
+    fn, schema = _describe(k, bits, range_bits)
     seen = c.stored(rows.mapInArrow(fn, schema), "rows")
     each = seen.where("kind = 0").select("id", "n", "node")
     classes = c.stored(seen.where("kind = 0 and node is not null and id is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     total = classes.agg(F.sum(F.floor(F.col("n") * (den - num) / den) + 1)).first()[0] or 0
 
-    often = (seen.where("kind = 1").groupBy("node").agg(F.sum("n").alias("m")).where(F.col("m") >= FREQUENT_AT)
-             .orderBy(F.desc("m"), "node").limit(FREQUENT_MAX).select("node").toArrow().column(0).to_numpy())
-    frequent = spark.sparkContext.broadcast(np.sort(often.astype(np.int64).view(np.uint64)))
-    fn, schema = _entries(k, frequent, num, den)
+    order = spark.sparkContext.broadcast(_counted_order(spark, seen, bits, range_bits))
+    fn, schema = _entries(k, order, num, den)
     blocks = rows.mapInArrow(fn, schema).repartition(c.partitions_for(spark, total, 200_000), "col")
     fn, schema = _first_products(num, den)
     product = c.stored(blocks.mapInArrow(fn, schema), "product")
@@ -314,36 +414,44 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
         """Pairs that the sizes and the rows' own sketches leave."""
         pairs = pairs.join(side.toDF("x", "nx", "sx"), "x").join(side.toDF("y", "ny", "sy"), "y")
         pairs = pairs.where(den * F.least("nx", "ny") >= num * F.greatest("nx", "ny"))
+        if "shared" in pairs.columns:
+            most = F.col("shared") + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
+            pairs = pairs.where((den + num) * most >= num * (F.col("nx") + F.col("ny")))
         return c.stored(pairs.where(_apart("sx", "sy") * (den + num) <= (den - num) * (F.col("nx") + F.col("ny"))).select("x", "y"), "pairs")
 
     first = near(product.where("kind = 0").select("x", "y").distinct())
     found = _verified(rows, first, classes, k, num, den, False)
-    links = found.where("linked").select("x", "y")
+    links, done = found.where("linked").select("x", "y"), [found]
 
     joined = c.components(links, "x", "y")
-    lists = product.where("kind = 1").select(F.col("x").alias("col"), F.col("y").alias("node"))
+    lists = product.where("kind = 1").select(F.col("x").alias("col"), F.col("y").alias("node"), "n", "place")
     lists = lists.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = lists.groupBy("col").agg(F.count("*").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     lists = c.stored(lists.join(sizes.where("lo < hi").select("col", "d"), "col"), "lists")
-    own = lists.groupBy("node").agg(F.sort_array(F.collect_set("col")).alias("cols"))
-    own = own.select("node", F.transform(F.sequence(F.lit(0), F.lit(OWN - 1)), lambda i: F.coalesce(F.get("cols", i), F.lit((1 << 63) - 1))).alias("own_cols"))
-    rows_at = classes.select("node", "n", _folded("sketch").alias("sketch")).join(own, "node")
-    lists = lists.join(rows_at, "node").withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
-    lists = lists.withColumn("own", F.pmod(F.xxhash64("node"), F.col("squares")).cast("int"))
+    c.drop_stored(product)
+    lists_at = lists.withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
+    copied = lists_at.agg(F.sum("squares")).first()[0] or 0
+    lists_at = lists_at.withColumn("own", F.pmod(F.xxhash64("node"), F.col("squares")).cast("int"))
     spots = F.transform(F.sequence(F.lit(0), F.col("squares") - 1), lambda o: F.struct(
         F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"), F.when(F.col("own") <= o, 0).otherwise(1).alias("side")))
-    lists = lists.withColumn("at", F.explode(spots)).select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "component",
-                                                            "n", F.col("at.side").alias("side"), "sketch", "own_cols")
-    lists = lists.repartition(c.partitions_for(spark, total // 20, 100_000), "col", "i", "j")
+    blocks = lists_at.withColumn("at", F.explode(spots)).select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "component",
+                                                                "n", "place", F.col("at.side").alias("side"))
+    blocks = blocks.repartition(c.partitions_for(spark, copied, 100_000), "col", "i", "j")
     fn, schema = _square_products(num, den)
     known = first.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    rest = near(lists.mapInArrow(fn, schema).distinct().join(known, ["x", "y"], "left_anti"))
+    sums = blocks.mapInArrow(fn, schema).groupBy("x", "y").agg(F.max("px").alias("px"), F.max("py").alias("py"), F.sum("shared").alias("shared"))
+    rest = near(sums.join(known, ["x", "y"], "left_anti"))
+    c.drop_stored(lists)
     if not rest.isEmpty():
-        found = found.union(_verified(rows, rest, classes, k, num, den, False))
+        more = _verified(rows, rest, classes, k, num, den, False)
+        done.append(more)
+        found = found.union(more)
         links = found.where("linked").select("x", "y")
     close = c.stored(found.where("not linked").select("x", "y"), "close")
     if not close.isEmpty():
-        links = links.union(_verified(rows, close, classes, k, num, den, True).select("x", "y"))
+        sure = _verified(rows, close, classes, k, num, den, True)
+        done.append(sure)
+        links = links.union(sure.select("x", "y"))
 
     comp = c.components(links, "x", "y")
     named = classes.select("node", F.col("id").alias("rep")).join(comp, "node", "left")
@@ -351,12 +459,15 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "component").select("node", "component_id")
     out = each.join(named, "node", "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-                      F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+    out = c.stored(out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
+                              F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"), "node"), "jaccard")
+    for table in (seen, classes, first, rest, close, joined, comp, *done):
+        c.drop_stored(table)
+    return out
 
 
 def op7_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_join(c.read_table(spark, sf_dir, "documents"))
+    return jaccard_join(c.read_table(spark, sf_dir, "documents")).drop("node")
 
 
 def oracle_sql() -> str:
