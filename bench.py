@@ -33,7 +33,7 @@ def base_queries():
     seen, out = set(), []
     for q in registry.QUERIES:
         qid = q.name[:3]
-        if qid not in seen:
+        if qid.startswith("q") and qid not in seen:
             seen.add(qid)
             out.append(q)
     return out
