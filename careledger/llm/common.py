@@ -7,8 +7,10 @@ longest text, never on the table.
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,15 +70,38 @@ def drop_stored(df: DataFrame) -> None:
 BATCH_ROWS, SPARK_BATCH_ROWS = 2000, "10000"
 
 
+_SHIPPED: set[str] = set()
+
+
 def workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, if nothing else does, and have texts sent
-    in batches of ``BATCH_ROWS``, if the session has Spark's default."""
+    """Let Python workers import this package, and have texts sent in batches of ``BATCH_ROWS``, if the session has Spark's
+    default. The operators call this themselves; both hold for the rest of the session.
+
+    On a local master workers get the driver's path. Elsewhere the package goes as a zip into the shared folder, from
+    where Spark hands it to the executors.
+    """
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == SPARK_BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    if sc.master == "local" or sc.master.startswith("local["):
+        if root not in sc.environment.get("PYTHONPATH", "").split(os.pathsep):
+            sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [sc.environment.get("PYTHONPATH"), root]))
+    elif sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            for folder, _, names in os.walk(package):
+                for n in names:
+                    if n.endswith(".py"):
+                        z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+        path = f"{shared_dir(spark)}/llm-code-{uuid.uuid4().hex}.zip"
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p)
+        out.write(bytearray(packed.getvalue()))
+        out.close()
+        sc.addPyFile(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,8 +114,15 @@ def partitions_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_each))
 
 
+def as_row(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` as one column ``row`` and the named columns beside it, so that helper columns clash with none."""
+    workers_import(df.sparkSession)
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[F.col(f"`{n}`") for n in names])
+
+
 def columns_of(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """The named columns cast to their types, missing ones null; other columns go."""
+    workers_import(df.sparkSession)
     have = {c.lower(): c for c in df.columns}
     return df.select(*[
         (F.col(f"`{have[k]}`") if k in have else F.lit(None)).cast(t).alias(k) for k, t in wanted.items()
@@ -100,8 +132,8 @@ def columns_of(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of the nodes of undirected ``edges``; component is the smallest node reachable.
 
-    Large-star and small-star rounds over the edge table, each stored in the shared
-    folder; a hub is spread by its neighbours, and each node only meets its minimum.
+    Large-star and small-star rounds over the edge table, each stored in the shared folder. Each node only meets its
+    minimum; the edges of a hub (16 bytes each) share a key, whose partition adaptive execution splits when it is large.
     """
     spark = edges.sparkSession
     cur = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()

@@ -382,13 +382,15 @@ def _verified(rows, pairs, classes, k, num, den, whole):
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """One row (doc_id, n_shingles, component_id, node) per row of ``docs`` (doc_id, text; other columns are ignored).
+    """One row (doc_id, n_shingles, component_id, node, component) per row of ``docs`` (doc_id, text; other columns are ignored).
 
     Two rows link when ``den * |A and B| >= num * |A or B|`` over their distinct k-word shingles
     (A-Z lower-cased, fewer than k words: one shingle); component_id is the smallest doc_id reachable.
     Null or empty text: 0 shingles, linked with nothing, its own component. Rows of a null doc_id are
     counted, not linked, and have a null component. Repeated ids are separate rows; rows of equal
-    sets are one component. An empty table gives no rows. ``node`` is a digest of the row's set, null for an empty one.
+    sets are one component. An empty table gives no rows. ``node`` is a digest
+    of the row's set and ``component`` one of its group of linked sets, null for an empty set; where ids repeat, groups that
+    share a smallest doc_id differ in it.
     """
     rows = c.columns_of(docs, {"doc_id": "long", "text": "string"})
     spark = rows.sparkSession
@@ -457,17 +459,29 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
     named = classes.select("node", F.col("id").alias("rep")).join(comp, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "component").select("node", "component_id")
+    named = named.join(least, "component").select("node", "component_id", "component")
     out = each.join(named, "node", "left")
     out = c.stored(out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-                              F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"), "node"), "jaccard")
+                              F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"), "node", "component"), "jaccard")
     for table in (seen, classes, first, rest, close, joined, comp, *done):
         c.drop_stored(table)
     return out
 
 
+def with_node(docs: DataFrame, k: int = 5) -> DataFrame:
+    """(row, node): each row of ``docs`` and the digest of its set as in ``jaccard_join``, null for a text without words."""
+
+    def run(batches):
+        for b in batches:
+            node = [_digest(h) if len(h) else None for _, h in c.shingle_sets(c.texts_of(b.column(1)), k)]
+            yield pa.record_batch([b.column(0), pa.array(node, pa.int64())], names=["row", "node"])
+
+    rows = c.as_row(docs, "text")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, node long")
+
+
 def op7_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_join(c.read_table(spark, sf_dir, "documents")).drop("node")
+    return jaccard_join(c.read_table(spark, sf_dir, "documents")).drop("node", "component")
 
 
 def oracle_sql() -> str:

@@ -90,9 +90,14 @@ def mix(rows: DataFrame, seed: int = 7, weights=(5, 2, 1), percent: int = 150, m
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` as often as the mix takes them, with the columns of ``docs``."""
-    out = mix(sized(docs, options.get("seed", 7)), **options).where("mix_copies > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*[F.col(f"`{x}`") for x in docs.columns])
+    """Rows of ``docs`` (doc_id, text, source and any others) as often as the mix takes them, with the columns of ``docs``.
+
+    As ``mix``: null texts have size 0, null sources are one source, rows equal in doc_id and text stand in for each
+    other; a source without words is not taken. Names of the other columns may be any. An empty table gives no rows.
+    """
+    rows = sized(c.as_row(docs, "doc_id", "text", "source"), options.get("seed", 7)).drop("text")
+    out = mix(rows, **options).where("mix_copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select("row.*")
 
 
 def op6_mixing_weights(spark, sf_dir):

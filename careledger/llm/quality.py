@@ -117,10 +117,11 @@ def _holds(rule) -> Column:
     return out
 
 
-def fit(rows: DataFrame, label: str) -> Column:
-    """Score expression over STATS, fitted on ``rows`` (STATS and a 0/1 ``label``; null labels are left out).
+def fit(rows: DataFrame, label: str) -> tuple[Column, bool]:
+    """(score expression over STATS, whether it tells rows apart), fitted on ``rows`` (STATS and a 0/1 ``label``; null labels
+    are left out).
 
-    Without rows of both labels the score is a constant: the share of label 1, or 0.5 without any.
+    Without rows of both labels, or without a rule, the score is a constant: the share of label 1, or 0.5 without any label.
     """
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
@@ -128,13 +129,13 @@ def fit(rows: DataFrame, label: str) -> Column:
     rows = rows.where(F.col(label).isin(0, 1)).withColumn("y", F.col(label).cast("double"))
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
     if not 0 < ones < n:
-        return F.lit(float(ones / n) if n else 0.5)
+        return F.lit(float(ones / n) if n else 0.5), False
     data = VectorAssembler(inputCols=STATS, outputCol="x").transform(rows)
     forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=0.5,
                                     minInstancesPerNode=5).fit(data)
     rules = _rules(forest.toDebugString)
     if not rules:
-        return F.lit(float(ones / n))
+        return F.lit(float(ones / n)), False
     hold = rows.select("y", *[_holds(r).cast("double").alias(f"r{k}") for k, r in enumerate(rules)])
     hold = VectorAssembler(inputCols=[f"r{k}" for k in range(len(rules))], outputCol="x").transform(hold).select("x", "y")
     model = LogisticRegression(featuresCol="x", labelCol="y", elasticNetParam=1.0, regParam=PENALTY, maxIter=60).fit(hold)
@@ -142,19 +143,22 @@ def fit(rows: DataFrame, label: str) -> Column:
     for r, w in zip(rules, model.coefficients.toArray(), strict=True):
         if w:
             score = score + F.when(_holds(r), float(w)).otherwise(0.0)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-score)), bool(model.coefficients.toArray().any())
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(stats: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Column:
-    """Score expression for ``labels.quality`` from the rows of ``stats`` (doc_id, STATS) that are not held out."""
+def learn(stats: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[Column, bool]:
+    """Score expression and whether it tells rows apart (``fit``) for ``labels.quality`` from the rows of ``stats`` (doc_id, STATS) that are not held out."""
     marks = c.columns_of(labels, {"doc_id": "long", "quality": "int"}).where("quality is not null")
     train = stats.join(marks, "doc_id").where(~held_out(F.col("doc_id")))
     train = train.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *STATS).limit(rows).select("quality", *STATS)
-    return fit(c.stored(train, "train"), "quality")
+    train = c.stored(train, "train")
+    out = fit(train, "quality")
+    c.drop_stored(train)
+    return out
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -164,17 +168,24 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     a null id is not held out. An empty table gives no rows.
     """
     stats = c.stored(with_stats(c.columns_of(docs, {"doc_id": "long", "text": "string"})).drop("text"), "stats")
-    score = learn(stats, labels)
+    score, _ = learn(stats, labels)
     out = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= KEEP).cast("int"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that the classifier keeps, with the columns of ``docs``."""
-    stats = c.stored(with_stats(c.columns_of(docs, {"doc_id": "long", "text": "string"}).join(
-        labels.select("doc_id").distinct(), "doc_id", "left_semi")).drop("text"), "stats")
-    score = learn(stats, labels)
-    return with_stats(docs).where(score >= KEEP).select(*docs.columns)
+    """Rows of ``docs`` (doc_id, text and any others) that the classifier keeps, with the columns of ``docs``.
+
+    Every row is kept where no classifier can be learnt: without labels, or with those of one kind only. Null and empty
+    texts are judged by statistics of zero, repeated rows alike; a null doc_id has no label but is judged. Names of the
+    other columns may be any. An empty table gives no rows.
+    """
+    known = c.columns_of(docs, {"doc_id": "long", "text": "string"}).join(
+        c.columns_of(labels, {"doc_id": "long"}).distinct(), "doc_id", "left_semi")
+    stats = c.stored(with_stats(known).drop("text"), "stats")
+    score, learnt = learn(stats, labels)
+    c.drop_stored(stats)
+    return with_stats(c.as_row(docs, "text")).where(score >= KEEP).select("row.*") if learnt else docs
 
 
 def op10_quality_classifier(spark, sf_dir):

@@ -62,14 +62,8 @@ def cuts_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     at = np.flatnonzero(begin)
     text = np.searchsorted(off, at, side="right") - 1
     # the hash sees the word's end: bytes before the white space, of this text only
-    back = 32
-    score = np.zeros(len(at), np.uint32)
-    word_end = at.copy()
-    for _ in range(back):
-        ws = space[word_end - 1]
-        if not ws.any():
-            break
-        word_end = np.where(ws & (word_end - 1 > off[text]), word_end - 1, word_end)
+    solid = np.maximum.accumulate(np.where(space, -1, np.arange(n))) + 1  # behind the last solid byte up to here
+    word_end = np.maximum(solid[at - 1], off[text] + 1)
     h = gear(raw)
     score = h[word_end - 1].astype(np.int64)
     near = word_end - off[text] < 16  # the hash would reach into the text before
@@ -96,14 +90,9 @@ def _n_words(raw, start, end, off):
 
 
 def _trimmed(raw, start, end):
-    """End of each chunk without the white space behind it (one step per byte of it, 64 at most)."""
-    e = end.copy()
-    for _ in range(64):
-        ws = (e - 1 > start) & c.SPACE[raw[e - 1]]
-        if not ws.any():
-            break
-        e[ws] -= 1
-    return e
+    """End of each chunk without the white space behind it; the first byte stays."""
+    solid = np.maximum.accumulate(np.where(c.SPACE[raw], -1, np.arange(len(raw)))) + 1  # behind the last solid byte up to here
+    return np.maximum(np.minimum(end, solid[end - 1]), start + 1) if len(end) else end.copy()
 
 
 def _groups(raw, off, start, end, text, min_words):
@@ -223,26 +212,33 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A passage stays where it comes first: in the document of the smallest doc_id, at its first place there. Null
     texts stay null, empty ones empty; a null doc_id comes first; rows of one doc_id count as one document and lose
-    nothing to each other. A text wholly repeated becomes empty; its row stays. An empty table gives no rows.
+    nothing to each other. A text wholly repeated becomes empty; its row stays. An empty table gives no rows. Columns of
+    the new ones' names are replaced; names of the others may be any.
     """
-    rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    occ = rows.select("__id", F.col("text").cast("string")).mapInArrow(_chunks(min_words), "digest long, id long")
+    c.workers_import(docs.sparkSession)
+    docs = docs.drop(*NEW)
+    own, marked = (next(n for n in (f"__{x}{k or ''}" for k in range(len(docs.columns) + 1)) if n not in docs.columns) for x in ("id", "marks"))
+    rows = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
+    occ = rows.select(own, F.col("text").cast("string")).mapInArrow(_chunks(min_words), "digest long, id long")
     known = occ.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     again = occ.join(known, "digest").where("id > first")
-    marks = again.groupBy("id").agg(F.collect_set("digest").alias("__marks")).withColumnRenamed("id", "__id")
-    return _cut(rows.join(marks, "__id", "left"), docs, min_words)
+    marks = again.groupBy("id").agg(F.collect_set("digest").alias(marked)).withColumnRenamed("id", own)
+    return _cut(rows.join(marks, own, "left"), docs, min_words, own, marked)
 
 
-def _cut(both: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
+#: Columns that substring_dedup adds.
+NEW = ("dedup_n_chunks", "dedup_n_repeated", "dedup_n_words_removed", "dedup_spans")
+
+
+def _cut(both: DataFrame, docs: DataFrame, min_words: int, own: str, marked: str) -> DataFrame:
     """Apply the marks; the other columns ride along."""
     names = docs.columns
     keep, _ = _kept(min_words)
-    extra = {"dedup_n_chunks": pa.int64(), "dedup_n_repeated": pa.int64(), "dedup_n_words_removed": pa.int64(), "dedup_spans": pa.list_(pa.list_(pa.int64()))}
     has_chars = "n_chars" in names
 
     def run(batches):
         for b in batches:
-            got = next(keep([pa.record_batch([b.column(b.schema.get_field_index(x)) for x in ("__id", "text", "__marks")], names=["row", "text", "marks"])]))
+            got = next(keep([pa.record_batch([b.column(b.schema.get_field_index(x)) for x in (own, "text", marked)], names=["row", "text", "marks"])]))
             out = []
             for x in names:
                 col = b.column(b.schema.get_field_index(x))
@@ -252,7 +248,7 @@ def _cut(both: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
                     col = pa.array([None if t is None else len(t) for t in got.column("text").to_pylist()], pa.int64()).cast(col.type)
                 out.append(col)
             out += [got.column("n_chunks"), got.column("n_repeated"), got.column("n_words_removed"), got.column("spans")]
-            yield pa.record_batch(out, names=[*names, *extra])
+            yield pa.record_batch(out, names=[*names, *NEW])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return both.mapInArrow(run, kinds + ", dedup_n_chunks long, dedup_n_repeated long, dedup_n_words_removed long, dedup_spans array<array<bigint>>")

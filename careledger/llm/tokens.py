@@ -3,7 +3,8 @@
 The pre-tokenizers of both vocabularies never join a letter with the white space or
 punctuation (apostrophes aside) behind it, so a text is cut there, equal pieces are encoded
 once, and a worker keeps the ids of pieces it has met (at most ``KEPT``). Where the
-tokenizer folds case and drops white space, that is done to ASCII before.
+tokenizer folds case and drops white space, that is done to ASCII before. A text that may
+hold the string of an added token (``<|endoftext|>``) is encoded whole by the tokenizer as loaded.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import common as c
 
 KEPT = 700_000
 _known: dict[str, dict] = {}
 _loaded: dict[str, object] = {}
+_whole: dict[str, tuple[object, list[str]]] = {}
 _folds: dict[str, bool] = {}
 _marks: dict[str, np.ndarray] = {}
 #: Words that are one pre-token each, encoded _RUN at a time.
@@ -47,8 +50,10 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        whole = Tokenizer.from_file(path)
+        _whole[path] = whole, [t.content for t in whole.get_added_tokens_decoder().values()]
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
+        t.encode_special_tokens = True  # words are encoded in runs, which must not make an added token's string
         _loaded[path] = t
         _known[path] = {}
         c.KEPT_BY_WORKER.append(_known[path])
@@ -105,8 +110,26 @@ def _piece_ids(path: str, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def token_ids(arr: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, ids of these texts in a row, number of ids of each), 4 MB of texts at a time.
 
-    The ids are those of ``encode(text, add_special_tokens=False)``, special strings as ordinary text.
+    The ids are those of ``encode(text, add_special_tokens=False)`` of the tokenizer as it is loaded.
     """
+    _tokenizer(path)
+    whole, added = _whole[path]
+    odd = np.zeros(len(arr), bool)
+    for content in added:
+        odd |= np.asarray(pc.match_substring(arr, content, ignore_case=True))
+    if not odd.any():
+        yield from _plain_ids(arr, path)
+        return
+    for i, j, flat, n in _plain_ids(pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), arr), path):
+        parts, n = np.split(flat, np.cumsum(n)[:-1]), n.copy()
+        for k in np.flatnonzero(odd[i:j]):
+            parts[k] = np.array(whole.encode(arr[int(i + k)].as_py(), add_special_tokens=False).ids, np.uint32)
+            n[k] = len(parts[k])
+        yield i, j, np.concatenate(parts).astype(np.uint32), n
+
+
+def _plain_ids(arr: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """As ``token_ids``, for texts without the string of an added token."""
     raw, off = c.buffers(arr)
     for i, j in c.slices(off, 4 * c.SLICE_BYTES):
         part, o = np.ascontiguousarray(raw[off[i] : off[j]]), off[i : j + 1] - off[i]
