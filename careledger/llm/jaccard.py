@@ -274,7 +274,7 @@ def _first_products(num, den):
             return
         t = pa.Table.from_batches(got)
         col, node, n, place = (t.column(i).to_numpy() for i in range(4))
-        o = np.lexsort((node, col))
+        o = np.lexsort((node, place, col))  # equal rows have equal places; the hub is the row with the fewest rarer columns
         col, node, n, place = col[o], node[o], n[o], place[o]
         new = np.ones(len(col), bool)
         new[1:] = (col[1:] != col[:-1]) | (node[1:] != node[:-1])
@@ -299,11 +299,13 @@ def _square_products(num, den):
     blocks of a task: columns shared, and the last place of a shared column in either row."""
 
     def summed(out):
-        x, y, px, py, m = (np.concatenate(v) for v in zip(*out, strict=True))
+        x, y, nx, ny, px, py, m = (np.concatenate(v) for v in zip(*out, strict=True))
         o = np.lexsort((y, x))
-        x, y, px, py, m = x[o], y[o], px[o], py[o], m[o]
+        x, y, nx, ny, px, py, m = (v[o] for v in (x, y, nx, ny, px, py, m))
         first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-        return [(x[first], y[first], np.maximum.reduceat(px, first), np.maximum.reduceat(py, first), np.add.reduceat(m, first))]
+        return [(x[first], y[first], nx[first], ny[first], np.maximum.reduceat(px, first), np.maximum.reduceat(py, first), np.add.reduceat(m, first))]
+
+    names = ["x", "y", "nx", "ny", "px", "py", "shared"]
 
     def run(batches):
         got = [b for b in batches if b.num_rows]
@@ -327,19 +329,19 @@ def _square_products(num, den):
                 r = r[(comp[r] != comp[i]) & _reachable(n[r], place[r], n[i], place[i], num, den)]
                 if len(r):
                     big = node[r] > node[i]
-                    out.append((np.maximum(node[r], node[i]), np.minimum(node[r], node[i]), np.where(big, place[r], place[i]),
-                                np.where(big, place[i], place[r]), np.ones(len(r), np.int64)))
+                    out.append((np.maximum(node[r], node[i]), np.minimum(node[r], node[i]), np.where(big, n[r], n[i]), np.where(big, n[i], n[r]),
+                                np.where(big, place[r], place[i]), np.where(big, place[i], place[r]), np.ones(len(r), np.int64)))
                     held += len(r)
                     if held > 1_000_000:
                         out = summed(out)
                         if len(out[0][0]) > 500_000:
-                            yield pa.record_batch([pa.array(v) for v in out[0]], names=["x", "y", "px", "py", "shared"])
+                            yield pa.record_batch([pa.array(v) for v in out[0]], names=names)
                             out = []
                         held = len(out[0][0]) if out else 0
         if out:
-            yield pa.record_batch([pa.array(v) for v in summed(out)[0]], names=["x", "y", "px", "py", "shared"])
+            yield pa.record_batch([pa.array(v) for v in summed(out)[0]], names=names)
 
-    return run, "x long, y long, px long, py long, shared long"
+    return run, "x long, y long, nx long, ny long, px long, py long, shared long"
 
 
 def _verified(rows, pairs, classes, k, num, den, whole):
@@ -416,9 +418,6 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
         """Pairs that the sizes and the rows' own sketches leave."""
         pairs = pairs.join(side.toDF("x", "nx", "sx"), "x").join(side.toDF("y", "ny", "sy"), "y")
         pairs = pairs.where(den * F.least("nx", "ny") >= num * F.greatest("nx", "ny"))
-        if "shared" in pairs.columns:
-            most = F.col("shared") + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
-            pairs = pairs.where((den + num) * most >= num * (F.col("nx") + F.col("ny")))
         return c.stored(pairs.where(_apart("sx", "sy") * (den + num) <= (den - num) * (F.col("nx") + F.col("ny"))).select("x", "y"), "pairs")
 
     first = near(product.where("kind = 0").select("x", "y").distinct())
@@ -441,7 +440,10 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
     blocks = blocks.repartition(c.partitions_for(spark, copied, 100_000), "col", "i", "j")
     fn, schema = _square_products(num, den)
     known = first.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    sums = blocks.mapInArrow(fn, schema).groupBy("x", "y").agg(F.max("px").alias("px"), F.max("py").alias("py"), F.sum("shared").alias("shared"))
+    sums = blocks.mapInArrow(fn, schema).groupBy("x", "y", "nx", "ny").agg(F.max("px").alias("px"), F.max("py").alias("py"), F.sum("shared").alias("shared"))
+    # what the two share in their bounds, and what may follow the last column of it in either
+    most = F.col("shared") + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
+    sums = sums.where((den + num) * most >= num * (F.col("nx") + F.col("ny"))).select("x", "y")
     rest = near(sums.join(known, ["x", "y"], "left_anti"))
     c.drop_stored(lists)
     if not rest.isEmpty():
