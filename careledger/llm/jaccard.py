@@ -39,6 +39,8 @@ CLASSES = np.array([2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 256, 1024, 6
 ID_BUCKETS = 1 << 20
 #: 64-bit words of the smallest sketch; a row's has two bits for each shingle or more.
 SKETCH = 8
+#: 64-bit words at most of the folded sketch that goes with an entry into the square blocks.
+SQUARE_SKETCH = 64
 #: Pairs with one row before that row's set is sent to several tasks.
 PAIRS_EACH = 256
 
@@ -51,6 +53,13 @@ def _sketch(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _folded(sketch):
+    """A row's sketch folded once (a bit for each shingle or more), SQUARE_SKETCH words at most, as a column."""
+    return F.expr(f"""transform(sequence(0, least({SQUARE_SKETCH}, greatest({SKETCH}, int(size({sketch}) / 2))) - 1), i -> aggregate(
+        sequence(0, int(size({sketch}) / least({SQUARE_SKETCH}, greatest({SKETCH}, int(size({sketch}) / 2)))) - 1), 0L,
+        (s, j) -> s ^ {sketch}[j * least({SQUARE_SKETCH}, greatest({SKETCH}, int(size({sketch}) / 2))) + i]))""")
+
+
 def _apart(a, b):
     """Differing bits of two sketches, the longer folded once if need be (twice as long rules a link out)."""
 
@@ -294,9 +303,41 @@ def _first_products(num, den):
     return run, "kind tinyint, x long, y long, n int, place int"
 
 
+class _Sketches:
+    """Sketches of a block's rows, in the length of each and in all shorter ones (halves folded by XOR)."""
+
+    def __init__(self, column: pa.ChunkedArray, order: np.ndarray):
+        lists = column.combine_chunks()
+        off = np.asarray(lists.offsets).astype(np.int64)
+        words = np.asarray(lists.values).view(np.uint64)
+        self.size = np.diff(off)[order]
+        self.at, self.of = {}, {}
+        longer, rows = np.zeros((0, 0), np.uint64), np.zeros(0, np.int64)
+        for w in sorted(set(self.size.tolist()), reverse=True):
+            while longer.shape[1] > w:
+                longer = longer[:, : longer.shape[1] // 2] ^ longer[:, longer.shape[1] // 2 :]
+            own = np.flatnonzero(self.size == w)
+            mine = words[(off[order[own]][:, None] + np.arange(w))]
+            longer = np.concatenate([longer.reshape(-1, w), mine])
+            rows = np.concatenate([rows, own])
+            place = np.zeros(len(self.size), np.int64)
+            place[rows] = np.arange(len(rows))
+            self.of[w], self.at[w] = longer, place
+
+    def apart(self, i: int, r: np.ndarray) -> np.ndarray:
+        """Differing bits of row i and rows r, in the shorter length of each two."""
+        out = np.zeros(len(r), np.int64)
+        short = np.minimum(self.size[r], self.size[i])
+        for w in np.unique(short).tolist():
+            k = short == w
+            of, at = self.of[w], self.at[w]
+            out[k] = np.bitwise_count(of[at[r[k]]] ^ of[at[i]]).sum(1, dtype=np.int64)
+        return out
+
+
 def _square_products(num, den):
-    """Square blocks of columns: the products of pairs of different components that the bounds leave, summed over the
-    blocks of a task: columns shared, and the last place of a shared column in either row."""
+    """Square blocks of columns: the products of pairs of different components that the bounds and sketches leave, summed
+    over the blocks of a task: columns shared, and the last place of a shared column in either row."""
 
     def summed(out):
         x, y, nx, ny, px, py, m = (np.concatenate(v) for v in zip(*out, strict=True))
@@ -317,6 +358,7 @@ def _square_products(num, den):
         key = key[:, o]
         node, comp, n, place, side = (t.column(i).to_numpy()[o] for i in range(3, 8))
         n, place = n.astype(np.int64), place.astype(np.int64)
+        sketches = _Sketches(t.column(8), o)
         first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
         out, held = [], 0
         for f, e in zip(first, np.append(first[1:], len(node)), strict=True):
@@ -327,6 +369,8 @@ def _square_products(num, den):
             for i in left:
                 r = right[right > i] if same else right
                 r = r[(comp[r] != comp[i]) & _reachable(n[r], place[r], n[i], place[i], num, den)]
+                if len(r):
+                    r = r[sketches.apart(i, r) * (den + num) <= (den - num) * (n[r] + n[i])]
                 if len(r):
                     big = node[r] > node[i]
                     out.append((np.maximum(node[r], node[i]), np.minimum(node[r], node[i]), np.where(big, n[r], n[i]), np.where(big, n[i], n[r]),
@@ -430,13 +474,14 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
     sizes = lists.groupBy("col").agg(F.count("*").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     lists = c.stored(lists.join(sizes.where("lo < hi").select("col", "d"), "col"), "lists")
     c.drop_stored(product)
-    lists_at = lists.withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
-    copied = lists_at.agg(F.sum("squares")).first()[0] or 0
+    rows_at = classes.select("node", _folded("sketch").alias("sketch"))
+    lists_at = lists.join(rows_at, "node").withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
+    copied = lists.agg(F.sum(F.ceil(F.col("d") / SQUARE))).first()[0] or 0
     lists_at = lists_at.withColumn("own", F.pmod(F.xxhash64("node"), F.col("squares")).cast("int"))
     spots = F.transform(F.sequence(F.lit(0), F.col("squares") - 1), lambda o: F.struct(
         F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"), F.when(F.col("own") <= o, 0).otherwise(1).alias("side")))
     blocks = lists_at.withColumn("at", F.explode(spots)).select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "component",
-                                                                "n", "place", F.col("at.side").alias("side"))
+                                                                "n", "place", F.col("at.side").alias("side"), "sketch")
     blocks = blocks.repartition(c.partitions_for(spark, copied, 100_000), "col", "i", "j")
     fn, schema = _square_products(num, den)
     known = first.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
