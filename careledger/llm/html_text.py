@@ -25,16 +25,20 @@ DEPTH = 6
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?<=/)>"  # empty
-    r"|<(?P<raw>script|style|noscript|template|textarea|select|iframe|object|svg|canvas|title|button|audio|video|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|textarea|iframe|title)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<closed>template|select|object|svg|canvas|button|audio|video|math)(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?</(?P=closed)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
     re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Words of a class that tell what a page's layout has, not what the element is.
+_LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|is|hide|show)[_-]\S*", re.I)
+_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 #: Elements that flow inside a block.
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that hold blocks and close by name.
 _HOLDERS = set("html body div section article main nav header footer aside form ul ol dl table tbody thead tfoot tr td th figure figcaption blockquote details fieldset menu dialog center p li".split())
-_FURNITURE = set("nav footer aside form menu dialog".split())
+_FURNITURE = set("nav footer aside menu dialog".split())
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _NAMED_FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|header|masthead|topbar|foot|footer|sidebar|side|widget\w*|aside|related|recommend\w*"
@@ -45,7 +49,7 @@ _ROLES = {"navigation": "f", "banner": "f", "contentinfo": "f", "complementary":
 
 
 def _kind(tag: str, attrs: str, inside_article: bool) -> str:
-    """'f' for page furniture, 'a' for an article, '' for neither."""
+    """'f' for page furniture, 'w' for a form, which is furniture unless an article lies nearer, 'a' for an article, '' for neither."""
     got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip() else {}
     if "hidden" in got or got.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", got.get("style", ""), re.I):
         return "f"
@@ -54,9 +58,11 @@ def _kind(tag: str, attrs: str, inside_article: bool) -> str:
     role = _ROLES.get(got.get("role", "").lower(), "")
     if role:
         return role
+    if tag == "form":
+        return "w"
     if tag in ("article", "main"):
         return "f" if re.search(r"comment|reply|replies", f"{got.get('class', '')} {got.get('id', '')}", re.I) else "a"
-    names = f"{got.get('class', '')} {got.get('id', '')}"
+    names = _LAYOUT.sub("", f"{got.get('class', '')} {got.get('id', '')}")
     if names.strip() and tag not in ("html", "body"):
         if _NAMED_FURNITURE.search(names):
             return "f"
@@ -69,17 +75,18 @@ def blocks(page: str) -> list[tuple[str, dict]]:
     """(text, own statistics) of the blocks of a page, in page order; text has references decoded and white space joined."""
     out, parts = [], []
     stack: list[tuple[str, str]] = []  # open holders and their kind
-    state = {"link": 0, "heading": False}
+    state = {"link": 0, "heading": False}  # link: where the open link ends
     linked: list[str] = []
+    open_link = False
 
     def flush():
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
             words = len(text.split())
             kinds = [k for _, k in stack]
+            near = next((k for k in reversed(kinds) if k), "")
             in_links = len(" ".join(entities.unescape("".join(linked)).split()).split())
-            # furniture inside an article is furniture, an article inside furniture (a site's wrapper) is not
-            out.append((text, {"words": words, "links": min(1.0, in_links / words), "article": int("a" in kinds), "furniture": int("f" in kinds),
+            out.append((text, {"words": words, "links": min(1.0, in_links / words), "article": int("a" in kinds), "furniture": int("f" in kinds or near == "w"),
                                "heading": int(state["heading"]), "sentence": int(text[-1] in ".!?:;\"'»”…)")}))
         parts.clear()
         linked.clear()
@@ -88,7 +95,7 @@ def blocks(page: str) -> list[tuple[str, dict]]:
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             parts.append(page[at : m.start()])
-            if state["link"]:
+            if m.start() <= state["link"]:
                 linked.append(page[at : m.start()])
                 linked.append(" ")
         at = m.end()
@@ -96,15 +103,22 @@ def blocks(page: str) -> list[tuple[str, dict]]:
         if not tag:
             continue
         end = bool(m["end"] or m["end2"])
-        if tag == "a":
-            state["link"] = 0 if end else 1
+        if tag == "a":  # a link goes on through blocks up to its end, where it has one before the next begins
+            nxt = None if end else _LINK.search(page, at)
+            state["link"] = nxt.start() if nxt and nxt[1] else 0 if end else -1
+            if state["link"] < 0:
+                state["link"] = len(page)
+                open_link = True
+            else:
+                open_link = False
         if tag in _INLINE:
             continue
         if tag == "br":
             parts.append(" ")
             continue
         flush()
-        state["link"] = 0 if tag != "a" else state["link"]
+        if open_link:  # without an end: up to the end of its block
+            state["link"], open_link = 0, False
         if tag in _HEADINGS:
             state["heading"] = not end
         if tag in _HOLDERS:

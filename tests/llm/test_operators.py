@@ -413,3 +413,26 @@ def test_quality_odd_rows(spark):
     out = quality.classify(frame(spark, ODD), labels).collect()
     assert len(out) == len(ODD) and all(r.score == 1.0 for r in out)  # one label only: its share
     assert quality.classify(empty(spark), labels.where("doc_id < 0")).count() == 0
+
+
+# ------------------------------------------------------------------ 2: wrappers, unclosed elements, linked blocks
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<div class='layout has-sidebar'><article><p>{long}</p></article><div class=sidebar><p>{more}</p></div></div>", "{long}"),
+    ("<div class='page with-sidebar'><div class='content'><p>{long}</p></div></div>", "{long}"),
+    ("<form id=aspnetForm><article><p>{long}</p></article><div>Search <input></div></form>", "{long}"),
+    ("<article><p>{long}</p><button>x<p>{more}</p></article>", "{long} x {more}"),
+    ("<article><p>{long}</p><video src=a><p>{more}</p></article>", "{long} {more}"),
+    ("<article><p>{long}</p><button>Share</button><p>{more}</p></article>", "{long} {more}"),
+])
+def test_articles_in_wrappers_stay(spark, page, want):
+    words = {"long": html_text._LONG, "more": html_text._MORE}
+    pages = spark.createDataFrame([(1, "u", page.format(**words))], "page_id long, url string, html string")
+    assert html_text.extract(pages).first().text == want.format(**words)
+
+
+def test_blocks_inside_a_link_are_linked():
+    got = html_text.blocks("<a href=1><h3>Teaser</h3><p>All of it</p></a><p>Free</p>")
+    assert [b["links"] for _, b in got] == [1.0, 1.0, 0.0]
+    assert [b["links"] for _, b in html_text.blocks("<p>a <a href=1>b c</p><p>Free</p>")][1] == 0.0
