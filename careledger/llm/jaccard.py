@@ -40,7 +40,9 @@ ID_BUCKETS = 1 << 20
 #: 64-bit words of the smallest sketch; a row's has two bits for each shingle or more.
 SKETCH = 8
 #: 64-bit words at most of the folded sketch that goes with an entry into the square blocks.
-SQUARE_SKETCH = 64
+SQUARE_SKETCH = 32
+#: Entries of a group of columns (those with one hub) that are multiplied in one task, so that a pair's products meet there.
+GROUP = 20_000
 #: Pairs with one row before that row's set is sent to several tasks.
 PAIRS_EACH = 256
 
@@ -471,18 +473,20 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
     joined = c.components(links, "x", "y")
     lists = product.where("kind = 1").select(F.col("x").alias("col"), F.col("y").alias("node"), "n", "place")
     lists = lists.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = lists.groupBy("col").agg(F.count("*").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    lists = c.stored(lists.join(sizes.where("lo < hi").select("col", "d"), "col"), "lists")
+    sizes = lists.groupBy("col").agg(F.count("*").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.min(F.struct("place", "node")).alias("hub"))
+    lists = c.stored(lists.join(sizes.where("lo < hi").select("col", "d", F.col("hub.node").alias("hub")), "col"), "lists")
     c.drop_stored(product)
     rows_at = classes.select("node", _folded("sketch").alias("sketch"))
-    lists_at = lists.join(rows_at, "node").withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
+    groups = lists.groupBy("hub").agg(F.ceil(F.sum(F.ceil(F.col("d") / SQUARE)) / GROUP).cast("int").alias("parts"))
+    lists_at = lists.join(rows_at, "node").join(groups, "hub").withColumn("part", F.pmod(F.xxhash64("col"), F.col("parts"))).withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
     copied = lists.agg(F.sum(F.ceil(F.col("d") / SQUARE))).first()[0] or 0
     lists_at = lists_at.withColumn("own", F.pmod(F.xxhash64("node"), F.col("squares")).cast("int"))
     spots = F.transform(F.sequence(F.lit(0), F.col("squares") - 1), lambda o: F.struct(
         F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"), F.when(F.col("own") <= o, 0).otherwise(1).alias("side")))
     blocks = lists_at.withColumn("at", F.explode(spots)).select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "component",
-                                                                "n", "place", F.col("at.side").alias("side"), "sketch")
-    blocks = blocks.repartition(c.partitions_for(spark, copied, 100_000), "col", "i", "j")
+                                                                "n", "place", F.col("at.side").alias("side"), "sketch", "hub", "part")
+    blocks = blocks.repartition(c.partitions_for(spark, copied, 100_000), "hub", "part", "i", "j").drop("hub", "part")
     fn, schema = _square_products(num, den)
     known = first.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
     sums = blocks.mapInArrow(fn, schema).groupBy("x", "y", "nx", "ny").agg(F.max("px").alias("px"), F.max("py").alias("py"), F.sum("shared").alias("shared"))
