@@ -180,9 +180,8 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts are judged by statistics of zero, repeated rows alike; a null doc_id has no label but is judged. Names of the
     other columns may be any. An empty table gives no rows.
     """
-    known = c.columns_of(docs, {"doc_id": "long", "text": "string"}).join(
-        c.columns_of(labels, {"doc_id": "long"}).distinct(), "doc_id", "left_semi")
-    stats = c.stored(with_stats(known).drop("text"), "stats")
+    # statistics before the join with the labels, so that no text is shuffled
+    stats = c.stored(with_stats(c.columns_of(docs, {"doc_id": "long", "text": "string"})).drop("text"), "stats")
     score, learnt = learn(stats, labels)
     c.drop_stored(stats)
     return with_stats(c.as_row(docs, "text")).where(score >= KEEP).select("row.*") if learnt else docs
