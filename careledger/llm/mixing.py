@@ -30,13 +30,14 @@ def size_of(text: Column) -> Column:
 
 
 def sized(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` with mix_size and its place __band, __spread, __cell."""
+    """``docs`` with mix_size and its place __key (the source, never null), __band, __spread, __cell."""
     rows = docs.withColumn("mix_size", size_of(F.col("text").cast("string")))
     rows = rows.withColumn("__spread", F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    # size classes: eight to an octave
-    band = F.when(F.col("mix_size") > 0, F.floor(F.log2("mix_size") * 8).cast("int")).otherwise(-1)
-    cell = F.floor((F.col("__spread").cast("double") / 2.0**64 + 0.5) * CELLS).cast("int")
-    return rows.withColumn("__band", band).withColumn("__cell", cell)
+    # size classes: eight to an octave; neither class nor cell may look nullable, or a join tests them on the texts again
+    band = F.coalesce(F.when(F.col("mix_size") > 0, F.floor(F.log2("mix_size") * 8).cast("int")), F.lit(-1))
+    cell = F.coalesce(F.floor((F.col("__spread").cast("double") / 2.0**64 + 0.5) * CELLS).cast("int"), F.lit(0))
+    key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit(""))
+    return rows.withColumn("__key", key).withColumn("__band", band).withColumn("__cell", cell)
 
 
 def targets(sizes: DataFrame, weights=(5, 2, 1), percent: int = 150, most: int = 2) -> DataFrame:
@@ -69,7 +70,7 @@ def mix(rows: DataFrame, seed: int = 7, weights=(5, 2, 1), percent: int = 150, m
     document are 0 to ``most``. Reruns agree, as the order depends on the rows and the seed only; rows equal in
     doc_id and text stand in for each other. Null ids come first in a tie. An empty table gives no rows.
     """
-    cells = c.stored(rows.groupBy("source", "__band", "__cell").agg(F.sum("mix_size").alias("size"), F.count("*").alias("n")), "cells")
+    cells = c.stored(rows.groupBy("__key", "source", "__band", "__cell").agg(F.sum("mix_size").alias("size"), F.count("*").alias("n")), "cells")
     plan = targets(cells.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, most)
     expected = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * UNIT)).otherwise(F.lit(0)).cast("long")
     offset = F.pmod(F.xxhash64(F.coalesce("source", F.lit("\0")), F.lit(seed)), F.lit(UNIT))
@@ -78,15 +79,15 @@ def mix(rows: DataFrame, seed: int = 7, weights=(5, 2, 1), percent: int = 150, m
     before = Window.partitionBy("source").orderBy("__band", "__cell").rowsBetween(Window.unboundedPreceding, -1)
     base = cells.join(plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     base = base.withColumn("__base", F.coalesce(F.sum(F.col("n") * F.col("__expected")).over(before), F.lit(0)) + F.col("__offset"))
-    base = c.stored(base.select(F.col("source").alias("__s"), F.col("__band").alias("__b"), F.col("__cell").alias("__l"),
-                                "mix_source_size", "mix_target", "__expected", "__base"), "base")
-    place = Window.partitionBy("source", "__band", "__cell").orderBy("__spread", "doc_id")
-    out = rows.withColumn("__at", F.row_number().over(place)).join(
-        base, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__band") == F.col("__b")) & (F.col("__cell") == F.col("__l")))
+    cell = ["__key", "__band", "__cell"]
+    base = c.stored(base.select(*cell, "mix_source_size", "mix_target", "__expected", "__base"), "base")
+    # the join's keys are the window's and hold no nulls, so the rows, texts and all, are shuffled once
+    place = Window.partitionBy(*cell).orderBy("__spread", "doc_id")
+    out = rows.withColumn("__at", F.row_number().over(place)).join(base, cell)
     end = F.col("__base") + F.col("__at") * F.col("__expected")
     copies = F.floor(end / UNIT) - F.floor((end - F.col("__expected")) / UNIT)
     out = out.withColumn("mix_copies", copies.cast("int"))
-    return out.drop("__s", "__b", "__l", "__at", "__expected", "__base", "__band", "__cell", "__spread")
+    return out.drop("__key", "__at", "__expected", "__base", "__band", "__cell", "__spread")
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
