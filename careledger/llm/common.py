@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -46,6 +46,13 @@ def new_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/llm-{what}-{uuid.uuid4().hex}"
 
 
+def _edges_stored(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """``edges`` (u, v) stored, and their number and digest, taken while they are written."""
+    seen = Observation()
+    out = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("digest")), "edges")
+    return out, seen.get
+
+
 def stored(df: DataFrame, what: str = "table") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends there,
     and a lost executor loses nothing of it."""
@@ -135,21 +142,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large-star and small-star rounds over the edge table, each stored in the shared folder. Each node only meets its
     minimum; the edges of a hub (16 bytes each) share a key, whose partition adaptive execution splits when it is large.
     """
-    spark = edges.sparkSession
-    cur = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    cur = stored(cur, "edges")
-    before = None
+    cur, before = _edges_stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     for _ in range(200):
+        # merged joins: both sides are grouped by u, and a minimum for each node is not sent through the driver
         both = cur.union(cur.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("m").alias("y")),
-                                                              F.struct(F.col("v").alias("x"), F.col("m").alias("y")))).alias("e"))
+        small = large.join(low.hint("merge"), "u").select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("m").alias("y")),
+                                                                            F.struct(F.col("v").alias("x"), F.col("m").alias("y")))).alias("e"))
         small = small.select(F.col("e.x").alias("u"), F.col("e.y").alias("v")).where("u <> v").distinct()
-        nxt = stored(small, "edges")
-        now = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        nxt, now = _edges_stored(small)
         drop_stored(cur)
         cur = nxt
         if now == before:

@@ -22,6 +22,8 @@ only the more frequent ones, which changes the cost, not the result.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -409,13 +411,13 @@ def _verified(rows, pairs, classes, k, num, den, whole):
     bits = np.zeros(ID_BUCKETS, bool)
     got = reps.select(bucket("id").alias("b")).distinct().toArrow().column(0).to_numpy()  # ID_BUCKETS rows at most
     bits[got] = True
-    fn, schema = _sets(k, spark.sparkContext.broadcast(bits), whole)
+    bitmap = spark.sparkContext.broadcast(bits)
+    fn, schema = _sets(k, bitmap, whole)
     sets = rows.mapInArrow(fn, schema).join(reps.select(F.col("x").alias("node"), "id"), ["node", "id"])
     sets = c.stored(sets.dropDuplicates(["node"]).select("node", "hashes"), "sets")
-    sizes = classes.select("node", "n")
-    left = sets.join(sizes, "node").select(F.col("node").alias("x"), F.col("hashes").alias("hx"), F.col("n").alias("nx"))
-    right = sets.join(pairs.select(F.col("y").alias("node")).distinct(), "node").join(sizes, "node")
-    right = right.select(F.col("node").alias("y"), F.col("hashes").alias("hy"), F.col("n").alias("ny"))
+    bitmap.destroy()
+    left = sets.select(F.col("node").alias("x"), F.col("hashes").alias("hx"), F.size("hashes").alias("nx"))
+    right = sets.select(F.col("node").alias("y"), F.col("hashes").alias("hy"), F.size("hashes").alias("ny"))
     # a row with many pairs meets them in several tasks
     many = pairs.groupBy("y").agg(F.ceil(F.count("*") / PAIRS_EACH).cast("int").alias("parts"))
     right = right.join(many, "y").select("y", "hy", "ny", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
@@ -457,6 +459,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
     blocks = rows.mapInArrow(fn, schema).repartition(c.partitions_for(spark, total, 200_000), "col")
     fn, schema = _first_products(num, den)
     product = c.stored(blocks.mapInArrow(fn, schema), "product")
+    order.destroy()  # the list is in the driver's memory too
 
     side = classes.select("node", "n", "sketch")
 
@@ -468,45 +471,52 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
 
     first = near(product.where("kind = 0").select("x", "y").distinct())
     found = _verified(rows, first, classes, k, num, den, False)
-    links, done = found.where("linked").select("x", "y"), [found]
+    done = [found]
 
-    joined = c.components(links, "x", "y")
+    joined = c.components(found.where("linked").select("x", "y"), "x", "y")
     lists = product.where("kind = 1").select(F.col("x").alias("col"), F.col("y").alias("node"), "n", "place")
     lists = lists.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = lists.groupBy("col").agg(F.count("*").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.min(F.struct("place", "node")).alias("hub"))
     lists = c.stored(lists.join(sizes.where("lo < hi").select("col", "d", F.col("hub.node").alias("hub")), "col"), "lists")
     c.drop_stored(product)
-    rows_at = classes.select("node", _folded("sketch").alias("sketch"))
-    groups = lists.groupBy("hub").agg(F.ceil(F.sum(F.ceil(F.col("d") / SQUARE)) / GROUP).cast("int").alias("parts"))
-    lists_at = lists.join(rows_at, "node").join(groups, "hub").withColumn("part", F.pmod(F.xxhash64("col"), F.col("parts"))).withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
     copied = lists.agg(F.sum(F.ceil(F.col("d") / SQUARE))).first()[0] or 0
-    lists_at = lists_at.withColumn("own", F.pmod(F.xxhash64("node"), F.col("squares")).cast("int"))
-    spots = F.transform(F.sequence(F.lit(0), F.col("squares") - 1), lambda o: F.struct(
-        F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"), F.when(F.col("own") <= o, 0).otherwise(1).alias("side")))
-    blocks = lists_at.withColumn("at", F.explode(spots)).select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "component",
-                                                                "n", "place", F.col("at.side").alias("side"), "sketch", "hub", "part")
-    blocks = blocks.repartition(c.partitions_for(spark, copied, 100_000), "hub", "part", "i", "j").drop("hub", "part")
-    fn, schema = _square_products(num, den)
-    known = first.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    sums = blocks.mapInArrow(fn, schema).groupBy("x", "y", "nx", "ny").agg(F.max("px").alias("px"), F.max("py").alias("py"), F.sum("shared").alias("shared"))
-    # what the two share in their bounds, and what may follow the last column of it in either
-    most = F.col("shared") + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
-    sums = sums.where((den + num) * most >= num * (F.col("nx") + F.col("ny"))).select("x", "y")
-    rest = near(sums.join(known, ["x", "y"], "left_anti"))
+    links = []
+    if copied:  # else no column holds rows of several components
+        rows_at = classes.select("node", _folded("sketch").alias("sketch"))
+        groups = lists.groupBy("hub").agg(F.ceil(F.sum(F.ceil(F.col("d") / SQUARE)) / GROUP).cast("int").alias("parts"))
+        lists_at = lists.join(rows_at, "node").join(groups, "hub").withColumn("part", F.pmod(F.xxhash64("col"), F.col("parts"))).withColumn("squares", F.ceil(F.col("d") / SQUARE).cast("int"))
+        lists_at = lists_at.withColumn("own", F.pmod(F.xxhash64("node"), F.col("squares")).cast("int"))
+        spots = F.transform(F.sequence(F.lit(0), F.col("squares") - 1), lambda o: F.struct(
+            F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"), F.when(F.col("own") <= o, 0).otherwise(1).alias("side")))
+        blocks = lists_at.withColumn("at", F.explode(spots)).select("col", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "component",
+                                                                    "n", "place", F.col("at.side").alias("side"), "sketch", "hub", "part")
+        blocks = blocks.repartition(c.partitions_for(spark, copied, 100_000), "hub", "part", "i", "j").drop("hub", "part")
+        fn, schema = _square_products(num, den)
+        known = first.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+        sums = blocks.mapInArrow(fn, schema).groupBy("x", "y", "nx", "ny").agg(F.max("px").alias("px"), F.max("py").alias("py"), F.sum("shared").alias("shared"))
+        # what the two share in their bounds, and what may follow the last column of it in either
+        most = F.col("shared") + F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) - 1
+        sums = sums.where((den + num) * most >= num * (F.col("nx") + F.col("ny"))).select("x", "y")
+        rest = near(sums.join(known, ["x", "y"], "left_anti"))
+        done.append(rest)
+        if not rest.isEmpty():
+            more = _verified(rows, rest, classes, k, num, den, False)
+            done.append(more)
+            found = found.union(more)
+            links.append(more.where("linked").select("x", "y"))
     c.drop_stored(lists)
-    if not rest.isEmpty():
-        more = _verified(rows, rest, classes, k, num, den, False)
-        done.append(more)
-        found = found.union(more)
-        links = found.where("linked").select("x", "y")
     close = c.stored(found.where("not linked").select("x", "y"), "close")
     if not close.isEmpty():
         sure = _verified(rows, close, classes, k, num, den, True)
         done.append(sure)
-        links = links.union(sure.select("x", "y"))
+        links.append(sure.select("x", "y"))
 
-    comp = c.components(links, "x", "y")
+    comp = joined
+    if links:  # the stars of the first components stand for their links
+        stars = joined.select(F.col("node").alias("x"), F.col("component").alias("y"))
+        comp = c.components(functools.reduce(DataFrame.union, links, stars), "x", "y")
+        done.append(joined)
     named = classes.select("node", F.col("id").alias("rep")).join(comp, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -514,7 +524,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) ->
     out = each.join(named, "node", "left")
     out = c.stored(out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                               F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"), "node", "component"), "jaccard")
-    for table in (seen, classes, first, rest, close, joined, comp, *done):
+    for table in (seen, classes, first, close, comp, *done):
         c.drop_stored(table)
     return out
 
